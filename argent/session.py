@@ -31,6 +31,7 @@ def get_session(master: str | None = None, app_name: str = "argent",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
