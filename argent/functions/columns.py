@@ -16,11 +16,10 @@ from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
-# The text forms the permissive integer cast accepts.
-# An integer with an optional decimal part, e.g. "12", "-3", " 7.9 ", "12."
-INTEGER_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
-# A decimal part only, e.g. ".5" or "-.25"; the permissive cast gives 0.
-FRACTION_ONLY_TEXT = r"^[+-]?[.][0-9]+$"
+# The text forms the permissive integer cast accepts -- an
+# integer with an optional decimal part ("12", "-3", " 7.9 ", "12.") or a
+# decimal part alone (".5", "-.25", which give 0).
+INTEGER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
 
 _TYPE_NAMES = {
     "string": T.StringType(),
@@ -52,11 +51,13 @@ def text_to_integer(c: ColumnOrName, target: str | T.DataType = "int") -> Column
     """
     target_type = as_type(target)
     text = F.trim(_col(c).cast("string"))
-    whole = F.regexp_extract(text, INTEGER_TEXT, 1)
-    return (
-        F.when(text.rlike(FRACTION_ONLY_TEXT), F.lit(0).cast(target_type))
-        .otherwise(whole.try_cast(target_type))
-    )
+    whole = F.substring_index(text, ".", 1)
+    # One regex validates the text; only validated digits reach the cast (a
+    # failing cast costs a thrown exception per value, ~15 us).
+    return F.when(
+        text.rlike(INTEGER_TEXT),
+        F.when(whole.isin("", "+", "-"), F.lit(0).cast(target_type))
+        .otherwise(whole.try_cast(target_type)))
 
 
 def safe_cast(c: ColumnOrName, target: str | T.DataType,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from argent.functions.columns import non_empty, safe_cast, surrogate_key
 from argent.operators.dedup import keep_one
 from argent.operators.filters import all_of, greater_than, is_true, not_null
-from argent.operators.joins import lookup_join, rows_referenced_by
+from argent.operators.joins import fits_broadcast, lookup_join, rows_referenced_by
 from argent.operators.nested import explode_rows
 from argent.operators.sets import tagged, union_by_name
 from argent.plans import silver as C
@@ -113,6 +113,10 @@ def combined_accounts(payable: DataFrame, receivable: DataFrame,
         F.col("id").cast("string").alias("categoria_principal_id"),
         F.col("categoria_pai").cast("string").alias("categoria_pai_id"))
     parent_rows = categories_silver if parents is None else parents
+    if broadcast is None and parents is None:
+        # both lookups are two-column projections of the categories: one
+        # measurement bounds both
+        broadcast = fits_broadcast(categories_silver)
     parent = parent_rows.select(
         F.col("id").cast("string").alias("categoria_pai_id"),
         F.col("nome").cast("string").alias("categoria_pai_nome"))

@@ -16,8 +16,6 @@ at most 6 elements -- nothing unbounded is collected into one row or task.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +39,19 @@ def _date_text(ts: str, plus_days: Column | int = 0) -> Column:
     return F.date_add(_date(ts), days.cast("int")).cast("string")
 
 
+def with_versions(df: DataFrame, older: Column) -> DataFrame:
+    """Rows matching ``older`` appear twice: ``_v`` = 0 (current) and 1 (an
+    older copy). A narrow explode, so the input is computed once -- a union
+    of two selects would plan (and run) the input twice."""
+    versions = F.when(older, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_v", F.explode(versions))
+
+
+def pick(current: Column, old: Column) -> Column:
+    """``current`` on current rows, ``old`` on older copies."""
+    return F.when(F.col("_v") == 1, old).otherwise(current)
+
+
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns in order, cast to the declared types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -94,24 +105,22 @@ class DriverTables:
     def users(self) -> DataFrame:
         """customer -> users; no name when key % 10 = 0; keys % 7 = 0 appear
         again with id text ``"<key>.0"`` and an older name."""
-        c = self.table("customer")
+        c = with_versions(self.table("customer"), F.col("c_custkey") % 7 == 0)
         name = F.when(F.col("c_custkey") % 10 == 0, F.lit(None)).otherwise(F.col("c_name"))
-        base = c.select(_s("c_custkey").alias("id"), name.alias("username"))
-        old = c.filter(F.col("c_custkey") % 7 == 0).select(
-            F.concat(_s("c_custkey"), F.lit(".0")).alias("id"),
-            F.concat(name, F.lit(" (old)")).alias("username"))
-        return conform_to(base.unionByName(old), B.USERS)
+        out = c.select(
+            pick(_s("c_custkey"), F.concat(_s("c_custkey"), F.lit(".0"))).alias("id"),
+            pick(name, F.concat(name, F.lit(" (old)"))).alias("username"))
+        return conform_to(out, B.USERS)
 
     def spaces(self) -> DataFrame:
         """supplier -> spaces; no name when key % 10 = 0; keys % 4 = 0 appear
         again with blank-padded id text and an older name."""
-        s = self.table("supplier")
+        s = with_versions(self.table("supplier"), F.col("s_suppkey") % 4 == 0)
         name = F.when(F.col("s_suppkey") % 10 == 0, F.lit(None)).otherwise(F.col("s_name"))
-        base = s.select(_s("s_suppkey").alias("id"), name.alias("name"))
-        old = s.filter(F.col("s_suppkey") % 4 == 0).select(
-            F.concat(F.lit(" "), _s("s_suppkey"), F.lit(" ")).alias("id"),
-            F.concat(name, F.lit(" (old)")).alias("name"))
-        return conform_to(base.unionByName(old), B.SPACES)
+        out = s.select(
+            pick(_s("s_suppkey"), F.concat(F.lit(" "), _s("s_suppkey"), F.lit(" "))).alias("id"),
+            pick(name, F.concat(name, F.lit(" (old)"))).alias("name"))
+        return conform_to(out, B.SPACES)
 
     def time_entries(self) -> DataFrame:
         """events -> time entries. start = event time in ms (text); the
@@ -176,16 +185,15 @@ class DriverTables:
             .otherwise(_date_text("o_orderdate")).alias("data_criacao"),
             F.struct(_s("party_key").alias("id"), F.col("party_name").alias("nome")).alias(party),
         ]
-        current = o.select(
-            *common, F.col("o_orderpriority").alias("descricao"),
-            _date_text("o_orderdate", 1 + F.col("o_custkey") % 30).alias("data_alteracao"),
-            forward.alias("categorias"))
-        older = o.filter(F.col("o_orderkey") % 13 == 0).select(
-            *common, F.lit("versao antiga").alias("descricao"),
-            _date_text("o_orderdate").alias("data_alteracao"),
-            reverse.alias("categorias"))
+        o = with_versions(o, F.col("o_orderkey") % 13 == 0)
+        out = o.select(
+            *common,
+            pick(F.col("o_orderpriority"), F.lit("versao antiga")).alias("descricao"),
+            pick(_date_text("o_orderdate", 1 + F.col("o_custkey") % 30), _date_text("o_orderdate"))
+            .alias("data_alteracao"),
+            pick(forward, reverse).alias("categorias"))
         schema = B.PAYABLES if party == "fornecedor" else B.RECEIVABLES
-        return conform_to(current.unionByName(older), schema)
+        return conform_to(out, schema)
 
     def payables(self) -> DataFrame:
         return self._accounts("F", "fornecedor")
@@ -249,10 +257,9 @@ class DriverTables:
         status = (F.when(F.col("o_orderstatus") == "F", F.lit("ATIVO"))
                   .when(F.col("o_orderstatus") == "O", F.lit("PENDENTE"))
                   .otherwise(F.lit("SUSPENSO")))
-        current = o.select(*common, status.alias("status"))
-        older = o.filter(F.col("o_orderkey") % 5 == 0).select(
-            *common, F.lit("ZZ_ANTIGO").alias("status"))
-        return conform_to(current.unionByName(older), B.CONTRACTS)
+        out = with_versions(o, F.col("o_orderkey") % 5 == 0).select(
+            *common, pick(status, F.lit("ZZ_ANTIGO")).alias("status"))
+        return conform_to(out, B.CONTRACTS)
 
     # ------------------------------------------------------------ income statement
 
@@ -454,14 +461,13 @@ class DriverTables:
                 F.lit("BR").alias("pais"),
                 F.lpad(_s(F.col("c_custkey") % 100000), 8, "0").alias("cep")).alias("endereco"),
         ]
-        current = c.select(
-            *common, F.col("c_name").alias("nome"),
-            F.date_add(F.lit("2021-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
-            .cast("string").alias("data_alteracao"))
-        older = c.filter(F.col("c_custkey") % 8 == 0).select(
-            *common, F.concat(F.col("c_name"), F.lit(" (old)")).alias("nome"),
-            F.lit("2019-12-31").alias("data_alteracao"))
-        return conform_to(current.unionByName(older), B.PEOPLE)
+        changed = (F.date_add(F.lit("2021-01-01").cast("date"),
+                              (F.col("c_custkey") % 365).cast("int")).cast("string"))
+        out = with_versions(c, F.col("c_custkey") % 8 == 0).select(
+            *common,
+            pick(F.col("c_name"), F.concat(F.col("c_name"), F.lit(" (old)"))).alias("nome"),
+            pick(changed, F.lit("2019-12-31")).alias("data_alteracao"))
+        return conform_to(out, B.PEOPLE)
 
     def sales(self) -> DataFrame:
         """orders -> sales list (no customer join: the sale carries its own
