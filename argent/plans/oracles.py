@@ -518,6 +518,20 @@ SELECT p_partkey,
 FROM part
 """
 
+_SILVER_COUNTS = {
+    "users": USERS, "spaces": SPACES, "time_entries": TIME_ENTRIES,
+    "accounts_payable": PAYABLE, "accounts_receivable": RECEIVABLE,
+    "categories": CATEGORIES_SILVER, "customers": CUSTOMERS,
+    "combined_accounts": COMBINED_ACCOUNTS, "dre_items": DRE_ITEMS,
+    "dre_subitems": DRE_SUBITEMS, "dre_financial_categories": DRE_FINANCIAL_CATEGORIES,
+    "financial_accounts": FINANCIAL_ACCOUNTS, "installments": INSTALLMENTS,
+    "installment_payments": INSTALLMENT_PAYMENTS, "people": PEOPLE, "sales": SALES,
+}
+
+SILVER_RUN = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) AS {name}_rows"
+    for name, sql in _SILVER_COUNTS.items())
+
 ORACLES: dict[str, str] = {
     "users_clean": USERS,
     "spaces_clean": SPACES,
@@ -551,4 +565,5 @@ ORACLES: dict[str, str] = {
     "surrogate_key": SURROGATE_KEY,
     "complex_to_text": COMPLEX_TO_TEXT,
     "layer_roundtrip": USERS,
+    "silver_run": SILVER_RUN,
 }

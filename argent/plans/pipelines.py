@@ -200,9 +200,12 @@ def sales(sales_list: DataFrame, sales_details: DataFrame,
 
 # ------------------------------------------------------------ template
 
-def deals_persons(deals: DataFrame, persons: DataFrame) -> DataFrame:
-    """Each deal with its person (inner join on the renamed key)."""
-    return deals.join(persons.withColumnRenamed("id", "person_id"), on="person_id")
+def deals_persons(deals: DataFrame, persons: DataFrame,
+                  broadcast: bool | None = None) -> DataFrame:
+    """Each deal with its person (inner join on the renamed key);
+    persons are broadcast only when measured small."""
+    return lookup_join(deals, persons.withColumnRenamed("id", "person_id"), "person_id",
+                       "inner", broadcast)
 
 
 def high_value_deals(deals_with_persons: DataFrame, threshold: float = 1000) -> DataFrame:

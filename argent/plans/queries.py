@@ -34,6 +34,7 @@ from argent.operators.joins import lookup_join
 from argent.operators.nested import explode_rows
 from argent.operators.sets import union_by_name
 from argent.plans import bronze as B
+from argent.plans import job as J
 from argent.plans import pipelines as P
 from argent.session import prepare, shared_dir
 from argent.sources.driver_shapes import RUN_TS, DriverTables
@@ -310,3 +311,24 @@ def layer_roundtrip(spark, sf_dir):
     bronze = store.land(raw, "Bronze", "users", B.USERS, folder="time_tracking")
     store.write(P.users(bronze), "Silver", "users", folder="time_tracking")
     return store.publish("Silver", "users", "Gold", folder="reports")
+
+
+@query("silver_run")
+def silver_run(spark, sf_dir):
+    """The whole job: every Bronze table landed, all 16
+    Silver tables written in dependency order and read back; one row count
+    per Silver table."""
+    t = tables(spark, sf_dir)
+    store = LayerStore(spark, f"{shared_dir(spark)}/argent-layers/{uuid.uuid4().hex}")
+    J.land_bronze(store, {
+        "users": t.users(), "spaces": t.spaces(), "time_entries": t.time_entries(),
+        "payables": t.payables(), "receivables": t.receivables(),
+        "categories": t.categories(), "contracts": t.contracts(),
+        "dre_categories": t.dre_categories(), "financial_accounts": t.financial_accounts(),
+        "installments": t.installments(), "people": t.people(), "sales": t.sales(),
+        "sales_details": t.sales_details()})
+    J.run(spark, store, RUN_TS)
+    counts = [store.read(J.SILVER, name).agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("table_name"), "row_count")
+              for name in J.SILVER_TABLES]
+    return union_by_name(counts)

@@ -30,6 +30,12 @@ def get_session(master: str | None = None, app_name: str = "argent",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Broadcast only behind a measured size: the static planner's choice
+        # rests on size *estimates* (compressed file size), so it is off;
+        # AQE's runtime choice uses the measured shuffle output of the small
+        # side, and explicit broadcasts go through operators.joins.fits_broadcast.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from argent.operators.joins import lookup_join
 from argent.plans import bronze as B
 
 # Fixed values shared with the SQL oracles.
@@ -172,7 +173,7 @@ class DriverTables:
             o = o.withColumn("party_key", F.col("o_custkey"))
             names = self.table("customer").select(
                 F.col("c_custkey").alias("party_key"), F.col("c_name").alias("party_name"))
-        o = o.join(names, "party_key", "left")
+        o = lookup_join(o, names, "party_key", "left")
         open_ = F.col("o_custkey") % 2 == 0
         common = [
             _s("o_orderkey").alias("id"),
@@ -241,7 +242,8 @@ class DriverTables:
         """orders -> contracts of the order's customer; no id when
         order % 19 = 0; number as text, ``"<n>.0"`` when order % 3 = 0;
         orders % 5 = 0 appear again with status ``ZZ_ANTIGO``."""
-        o = self.table("orders").join(
+        o = lookup_join(
+            self.table("orders"),
             self.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"),
             "o_custkey", "left")
         num = _s(F.col("o_orderkey") % 1000)
