@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The job this library re-expresses is a scheduled full-refresh batch: it has
+no stream source, watermark, windowed aggregate, stateful operator or
+late-data rule, and incremental loading is not part of it. Nothing is
+built here, so that the library does not grow operators the original never
+had. A deployment that wants micro-batches can call the batch pipelines of
+:mod:`argent.plans.pipelines` from ``writeStream.foreachBatch``: each
+pipeline is a pure DataFrame -> DataFrame function.
+"""

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from argent.operators import keep_one, lookup_join
 from argent.plans import bronze as B
 from argent.plans import pipelines as P
 from argent.plans import silver as S
@@ -165,3 +166,34 @@ def test_last_element_prunes_nested_read(spark, tmp_path):
         S.INSTALLMENTS.columns[17].source().alias("x"))          # rateio_id_categoria
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "rateio:array<struct<id_categoria:string>>" in plan, plan
+
+
+def test_layer_keyword_api_roundtrip(spark, tmp_path):
+    from argent.sources import layers as L
+    spark.conf.set("argent.layers.root", str(tmp_path / "lake"))
+    try:
+        users = P.users(DriverTables(spark, SF_SMALL).users())
+        L.save_table(df=users, layer_name="Trusted", table_name="users", folder_name="Reports")
+        back = L.load_table(layer_name="Trusted", table_name="users")
+        assert rows(back) == rows(users)
+        L.save_table(users.limit(0), "Trusted", "users", "Reports")       # full refresh
+        assert L.load_table("Trusted", "users").count() == 0
+    finally:
+        spark.conf.unset("argent.layers.root")
+
+
+def test_keep_one_and_lookup_on_a_hot_key(spark):
+    """A third of the rows share one key: results stay whole and exact."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(0))
+                        .otherwise(F.col("l_orderkey")))
+    one = keep_one(hot, ["l_orderkey"], [F.col("l_extendedprice").desc()])
+    top = hot.filter(F.col("l_orderkey") == 0).agg(F.max("l_extendedprice")).first()[0]
+    assert one.filter(F.col("l_orderkey") == 0).first()["l_extendedprice"] == top
+    assert one.count() == hot.select("l_orderkey").distinct().count()
+    dim = spark.createDataFrame([(0, "hot")], "l_orderkey bigint, name string")
+    for b in (True, False):
+        joined = lookup_join(hot, dim, "l_orderkey", "left", broadcast=b)
+        assert joined.count() == hot.count()
+        assert joined.filter(F.col("name") == "hot").count() == \
+            hot.filter(F.col("l_orderkey") == 0).count()
