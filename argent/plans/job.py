@@ -9,11 +9,17 @@ value, and a failure after a table is written does not redo it on retry.
 
 Spark retries lost tasks and stages by itself; each write is an overwrite,
 so re-running the whole job after a driver failure is also safe.
+
+Tables of one dependency level are independent, so their writes are
+submitted as concurrent Spark jobs (``max_parallel`` driver threads, Spark's
+documented in-application scheduling). Many stages of a small table use few
+tasks; running the tables side by side keeps the executors busy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +59,24 @@ def run_timestamp(spark: SparkSession) -> str:
     return spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
 
 
+#: tables built from other Silver tables (read back after they are written)
+NEEDS = {
+    "combined_accounts": ("accounts_payable", "accounts_receivable", "categories"),
+    "dre_financial_categories": ("dre_items", "dre_subitems"),
+}
+
+
+def write_all(tasks: dict[str, Callable[[], str]], max_parallel: int) -> dict[str, str]:
+    """Run independent write tasks as concurrent Spark jobs."""
+    if max_parallel <= 1 or len(tasks) <= 1:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
-        tables: Iterable[str] | None = None) -> dict[str, str]:
+        tables: Iterable[str] | None = None, max_parallel: int = 4) -> dict[str, str]:
     """Build the Silver tables (all, or ``tables`` and what they need).
     Returns table -> written path."""
     run_ts = run_ts or run_timestamp(spark)
@@ -89,22 +111,22 @@ def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
         "people": lambda: P.people(bronze("people"), run_ts),
         "sales": lambda: P.sales(bronze("sales"), bronze("sales_details"), run_ts),
     }
-    needs = {
-        "combined_accounts": ("accounts_payable", "accounts_receivable", "categories"),
-        "dre_financial_categories": ("dre_items", "dre_subitems"),
-    }
     closure = set(wanted)
     for name in wanted:
-        closure.update(needs.get(name, ()))
-    for name, folder in SILVER_TABLES.items():
-        if name in closure:
-            written[name] = store.write(builders[name](), SILVER, name, folder)
+        closure.update(NEEDS.get(name, ()))
+    first = [n for n in SILVER_TABLES if n in closure and n not in NEEDS]
+    second = [n for n in SILVER_TABLES if n in closure and n in NEEDS]
+    for level in (first, second):
+        written.update(write_all(
+            {n: (lambda n=n: store.write(builders[n](), SILVER, n, SILVER_TABLES[n]))
+             for n in level}, max_parallel))
     return written
 
 
-def land_bronze(store: LayerStore, frames: dict[str, DataFrame]) -> None:
+def land_bronze(store: LayerStore, frames: dict[str, DataFrame], max_parallel: int = 4) -> None:
     """Write Bronze tables (e.g. derived from test data) with their declared
     schemas."""
-    for name, df in frames.items():
-        store.write(df.select(*[F.col(f.name).cast(f.dataType) for f in B.ALL[name].fields]),
-                    BRONZE, name)
+    def task(name: str, df: DataFrame) -> Callable[[], str]:
+        cols = [F.col(f.name).cast(f.dataType) for f in B.ALL[name].fields]
+        return lambda: store.write(df.select(*cols), BRONZE, name)
+    write_all({name: task(name, df) for name, df in frames.items()}, max_parallel)

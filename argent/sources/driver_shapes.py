@@ -94,6 +94,13 @@ class DriverTables:
         return per_group.groupBy("l_orderkey").agg(
             F.array_sort(F.collect_list(group)).alias("groups"))
 
+    def order_summary(self) -> DataFrame:
+        """Per order: lowest/highest part key and lowest supplier key of its
+        lines (one partially aggregated shuffle)."""
+        return self.table("lineitem").groupBy("l_orderkey").agg(
+            F.min("l_partkey").alias("p_min"), F.max("l_partkey").alias("p_max"),
+            F.min("l_suppkey").alias("s_min"))
+
     def orders_with_groups(self) -> DataFrame:
         """Every order with its line groups; ``groups`` is NULL for orders
         without lines."""
@@ -153,20 +160,21 @@ class DriverTables:
         order's lines (one element when equal; NULL without lines). No
         creation date when order % 17 = 0. Orders % 13 = 0 appear again as an
         older version with the categories reversed."""
-        o = self.orders_with_groups().filter(F.col("o_orderstatus") == status)
-        p_min = F.array_min(F.col("groups.p_min"))
-        p_max = F.array_max(F.col("groups.p_max"))
+        o = (self.table("orders").filter(F.col("o_orderstatus") == status)
+             .join(self.order_summary(), F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+        p_min, p_max = F.col("p_min"), F.col("p_max")
 
         def cat(k: Column) -> Column:
             return F.struct(F.concat(F.lit("C"), _s(k)).alias("id"),
                             F.concat(F.lit("categoria "), _s(k)).alias("nome"))
 
-        forward = F.when(F.col("groups").isNull(), F.lit(None)).otherwise(
+        no_lines = F.col("l_orderkey").isNull()
+        forward = F.when(no_lines, F.lit(None)).otherwise(
             F.array_distinct(F.array(cat(p_min), cat(p_max))))
-        reverse = F.when(F.col("groups").isNull(), F.lit(None)).otherwise(
+        reverse = F.when(no_lines, F.lit(None)).otherwise(
             F.array_distinct(F.array(cat(p_max), cat(p_min))))
         if party == "fornecedor":
-            o = o.withColumn("party_key", F.array_min(F.col("groups.s_min")))
+            o = o.withColumn("party_key", F.col("s_min"))
             names = self.table("supplier").select(
                 F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("party_name"))
         else:
