@@ -47,3 +47,16 @@ def test_query_matches_oracle(spark, con, name):
     drows = [tuple(r[idx[c]] for c in cols) for r in rel.fetchall()]
     assert len(srows) == len(drows)
     assert norm(srows) == norm(drows)
+
+
+CAST_HEAVY = ["users_clean", "time_entries", "customers_contracts", "installments",
+              "financial_accounts", "people", "sales", "safe_cast_matrix", "last_element"]
+
+
+@pytest.mark.parametrize("name", CAST_HEAVY)
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

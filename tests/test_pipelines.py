@@ -197,3 +197,23 @@ def test_keep_one_and_lookup_on_a_hot_key(spark):
         assert joined.count() == hot.count()
         assert joined.filter(F.col("name") == "hot").count() == \
             hot.filter(F.col("l_orderkey") == 0).count()
+
+
+def test_landing_keeps_malformed_records(spark, tmp_path):
+    from argent.sources.layers import LayerStore
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "part.json").write_text('{"id": "1", "username": "a"}\n{"id": 2, "username": \n')
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    got = store.land(str(raw), "Bronze", "users", B.USERS, corrupt_column="_corrupt")
+    out = sorted(((r.id, r.username, r._corrupt is not None) for r in got.collect()), key=repr)
+    assert out == sorted([(None, None, True), ("1", "a", False)], key=repr)
+
+
+def test_pipelines_repeat_under_other_partitionings(spark, t):
+    def build(shuffle):
+        return P.combined_accounts(
+            P.accounts_payable(shuffle(t.payables()), RUN_TS),
+            P.accounts_receivable(shuffle(t.receivables()), RUN_TS),
+            P.categories(shuffle(t.categories()), RUN_TS))
+    assert rows(build(lambda d: d.repartition(7))) == rows(build(lambda d: d.coalesce(1)))
