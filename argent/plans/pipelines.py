@@ -103,25 +103,30 @@ def combined_accounts(payable: DataFrame, receivable: DataFrame,
     """Payables (tipo D) and receivables (tipo R) with the parent
     category id and name of each account's category.
 
-    Parent names come from ``categories_silver`` (P6): a parent then has one
-    name, the one of its P6 row. Passing the Bronze parent rows of P8 as
-    ``parents`` instead reproduces the original fan-out on duplicate parents.
+    The category hierarchy (category -> parent id, parent name) is resolved
+    on the small side first, so the large accounts side is joined once, not
+    twice. Parent names come from ``categories_silver`` (P6): a parent then
+    has one name, the one of its P6 row. Passing the Bronze parent rows of P8
+    as ``parents`` instead reproduces the original fan-out on duplicate
+    parents.
     """
     accounts = union_by_name([tagged(payable, "tipo", "D"), tagged(receivable, "tipo", "R")],
                              allow_missing=True)
     child = categories_silver.select(
         F.col("id").cast("string").alias("categoria_principal_id"),
         F.col("categoria_pai").cast("string").alias("categoria_pai_id"))
-    parent_rows = categories_silver if parents is None else parents
-    if broadcast is None and parents is None:
-        # both lookups are two-column projections of the categories: one
-        # measurement bounds both
-        broadcast = fits_broadcast(categories_silver)
-    parent = parent_rows.select(
+    parent = (categories_silver if parents is None else parents).select(
         F.col("id").cast("string").alias("categoria_pai_id"),
         F.col("nome").cast("string").alias("categoria_pai_nome"))
-    with_parent = lookup_join(accounts, child, "categoria_principal_id", "left", broadcast)
-    out = lookup_join(with_parent, parent, "categoria_pai_id", "left", broadcast)
+    if broadcast is None and parents is None:
+        # P6 output is unique by id, so the hierarchy below has one row per
+        # category: one measurement of the categories bounds every side.
+        broadcast = fits_broadcast(categories_silver)
+    # dimension-sized: one row per category (more only in fan-out mode)
+    hierarchy = lookup_join(child, parent, "categoria_pai_id", "left", broadcast)
+    if broadcast is None:
+        broadcast = fits_broadcast(hierarchy)
+    out = lookup_join(accounts, hierarchy, "categoria_principal_id", "left", broadcast)
     return out.select(*C.COMBINED_ACCOUNTS_COLUMNS)
 
 

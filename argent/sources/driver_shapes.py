@@ -215,35 +215,29 @@ class DriverTables:
         accounts pointing at them are orphans), parent = the part's brand
         (none when size % 9 = 0); one parent category per brand. Parts % 7 = 0
         and every brand also appear as an older version."""
-        p = self.table("part").filter(F.col("p_partkey") % 11 != 0)
+        p = with_versions(self.table("part").filter(F.col("p_partkey") % 11 != 0),
+                          F.col("p_partkey") % 7 == 0)
         parent = F.when(F.col("p_size") % 9 == 0, F.lit(None)).otherwise(F.col("p_brand"))
-        part_cols = [
+        parts = p.select(
             F.concat(F.lit("C"), _s("p_partkey")).alias("id"),
+            pick(F.col("p_name"), F.concat(F.col("p_name"), F.lit(" (v0)"))).alias("nome"),
+            pick(F.col("p_size"), F.col("p_size") - 100).alias("versao"),
             parent.alias("categoria_pai"),
             F.col("p_type").alias("tipo"),
             F.when(F.col("p_size") % 2 == 0, F.lit("CUSTO")).otherwise(F.lit("RECEITA"))
             .alias("entrada_dre"),
-            (F.col("p_size") % 2 == 0).alias("considera_custo_dre"),
-        ]
-        parts = p.select(*part_cols, F.col("p_name").alias("nome"),
-                         F.col("p_size").alias("versao"))
-        parts_old = p.filter(F.col("p_partkey") % 7 == 0).select(
-            *part_cols, F.concat(F.col("p_name"), F.lit(" (v0)")).alias("nome"),
-            (F.col("p_size") - 100).alias("versao"))
-        brands = self.table("part").select("p_brand").distinct()
-        brand_cols = [
+            (F.col("p_size") % 2 == 0).alias("considera_custo_dre"))
+        brands = with_versions(self.table("part").select("p_brand").distinct(), F.lit(True))
+        groups = brands.select(
             F.col("p_brand").alias("id"),
+            pick(F.regexp_replace("p_brand", "Brand#", "Marca "), F.lit("Marca antiga"))
+            .alias("nome"),
+            pick(F.lit(2), F.lit(1)).alias("versao"),
             F.lit(None).cast("string").alias("categoria_pai"),
             F.lit("GRUPO").alias("tipo"),
             F.lit(None).cast("string").alias("entrada_dre"),
-            F.lit(None).cast("boolean").alias("considera_custo_dre"),
-        ]
-        groups = brands.select(*brand_cols,
-                               F.regexp_replace("p_brand", "Brand#", "Marca ").alias("nome"),
-                               F.lit(2).alias("versao"))
-        groups_old = brands.select(*brand_cols, F.lit("Marca antiga").alias("nome"),
-                                   F.lit(1).alias("versao"))
-        rows = parts.unionByName(parts_old).unionByName(groups).unionByName(groups_old)
+            F.lit(None).cast("boolean").alias("considera_custo_dre"))
+        rows = parts.unionByName(groups)
         return conform_to(rows, B.CATEGORIES)
 
     def contracts(self) -> DataFrame:
