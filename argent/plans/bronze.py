@@ -1,5 +1,8 @@
 """Declared Bronze input schemas.
 
+Fixed values: the field names and nesting below are those of the source
+tables (the paths the Silver contracts read); the types are inferred.
+
 The source delivers some numeric fields as text; they are declared as text
 and converted by the Silver contracts' safe casts. Reading with a declared
 schema makes a drifted source fail at load, not at column resolution.

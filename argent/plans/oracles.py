@@ -564,6 +564,7 @@ ORACLES: dict[str, str] = {
     "lookup_left": LOOKUP_LEFT,
     "surrogate_key": SURROGATE_KEY,
     "complex_to_text": COMPLEX_TO_TEXT,
+    "audit_column": f"SELECT c_custkey, {TS} AS _loaded_at FROM customer",
     "layer_roundtrip": USERS,
     "silver_run": SILVER_RUN,
 }

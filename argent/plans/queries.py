@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argent.functions.columns import (
+    audit_timestamp,
     epoch_ms_to_timestamp,
     first_element,
     has_elements,
@@ -300,6 +301,13 @@ def complex_to_text(spark, sf_dir):
                        F.col("evento.rateio").cast("string").alias("rateio"))
 
 
+@query("audit_column")
+def audit_column(spark, sf_dir):
+    """The run's load timestamp as text on every row."""
+    c = tables(spark, sf_dir).table("customer")
+    return c.select("c_custkey", audit_timestamp(RUN_TS).alias("_loaded_at"))
+
+
 @query("layer_roundtrip")
 def layer_roundtrip(spark, sf_dir):
     """Landed raw files -> Bronze -> Silver -> Gold, in the shared

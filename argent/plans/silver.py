@@ -2,6 +2,10 @@
 
 The output names are the published contract of the Silver layer and are
 kept as they are (Portuguese column names included).
+
+Fixed values: every column name, its position, its type and the Bronze path
+it is taken from below must equal the original job's output tables, so that
+existing readers of the Silver layer keep working.
 """
 
 from __future__ import annotations
