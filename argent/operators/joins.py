@@ -46,8 +46,31 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job). For file scans it
+    is based on the compressed file size, so the data in memory is at least
+    about this large; it is not an upper bound."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes",
+                                               str(2 ** 63 - 1)).rstrip("bB"))
+    except Exception:  # noqa: BLE001 -- an estimate is optional
+        return None
+    # a relation Spark cannot size gets the default: that is "unknown"
+    return None if size >= unknown else size
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    A side whose *estimate* is already far above the byte bound is refused
+    without a job, so a huge table is not read once just to learn that it
+    is huge; everything else is measured exactly.
+    """
+    estimate = estimated_bytes(df)
+    if estimate is not None and estimate > 4 * max_bytes:
+        return False
     rows, size = measure(df)
     return rows <= max_rows and size <= max_bytes
 

@@ -81,3 +81,8 @@ def test_fits_broadcast_checks_rows_and_bytes(spark):
     assert fits_broadcast(dim, max_rows=100, max_bytes=10_000)
     assert not fits_broadcast(dim, max_rows=99, max_bytes=10_000)
     assert not fits_broadcast(dim, max_rows=100, max_bytes=1_000)
+
+
+def test_fits_broadcast_refuses_huge_estimate_without_a_job(spark):
+    big = spark.range(0, 10 ** 12)          # never scanned: the estimate decides
+    assert not fits_broadcast(big, max_rows=10, max_bytes=1000)
