@@ -217,3 +217,11 @@ def test_pipelines_repeat_under_other_partitionings(spark, t):
             P.accounts_receivable(shuffle(t.receivables()), RUN_TS),
             P.categories(shuffle(t.categories()), RUN_TS))
     assert rows(build(lambda d: d.repartition(7))) == rows(build(lambda d: d.coalesce(1)))
+
+
+def test_nested_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "te")
+    DriverTables(spark, SF_SMALL).time_entries().write.parquet(path)
+    plan = P.time_entries(spark.read.parquet(path))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "IsNotNull(user.id)" in plan, plan
