@@ -493,6 +493,32 @@ SELECT l_orderkey, {", ".join(_LINE_COLS[:-1])}, CAST(l_shipdate AS VARCHAR) AS
 FROM r WHERE rn = 1
 """
 
+KEEP_ONE_HOT_KEY = f"""
+WITH h AS (
+  SELECT CASE WHEN l_linenumber % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS l_orderkey,
+         {", ".join(_LINE_COLS)}
+  FROM lineitem),
+r AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey
+    ORDER BY l_shipdate DESC NULLS LAST,
+             {", ".join(c + " ASC NULLS FIRST" for c in _LINE_COLS)}) AS rn
+  FROM h)
+SELECT l_orderkey, {", ".join(_LINE_COLS[:-1])}, CAST(l_shipdate AS VARCHAR) AS ship_date
+FROM r WHERE rn = 1
+"""
+
+LOOKUP_HOT_KEY = """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey,
+         CASE WHEN l_linenumber % 5 = 0 THEN NULL
+              WHEN l_linenumber % 3 = 0 THEN CAST(0 AS BIGINT)
+              ELSE l_partkey END AS p_partkey
+  FROM lineitem)
+SELECT l.p_partkey, l.l_orderkey, l.l_linenumber, l.l_suppkey, p.p_name, p.p_brand
+FROM l LEFT JOIN part p ON p.p_partkey = l.p_partkey
+"""
+
 UNION_MISSING = """
 SELECT c_custkey AS id, c_name AS nome, c_nationkey AS nacao, c_acctbal AS saldo,
        c_mktsegment AS segmento, 'cliente' AS origem
@@ -560,6 +586,8 @@ ORACLES: dict[str, str] = {
     "has_elements": HAS_ELEMENTS,
     "explode_rows": EXPLODE_ROWS,
     "keep_one": KEEP_ONE,
+    "keep_one_hot_key": KEEP_ONE_HOT_KEY,
+    "lookup_hot_key": LOOKUP_HOT_KEY,
     "union_missing": UNION_MISSING,
     "lookup_left": LOOKUP_LEFT,
     "surrogate_key": SURROGATE_KEY,

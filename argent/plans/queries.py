@@ -255,6 +255,33 @@ def keep_one_q(spark, sf_dir):
                       F.col("l_shipdate").cast("string").alias("ship_date"))
 
 
+@query("keep_one_hot_key")
+def keep_one_hot_key(spark, sf_dir):
+    """O29 under skew: every line with line number % 3 = 0 (a third of the
+    table) is moved to order 0, then one line per order is kept."""
+    li = tables(spark, sf_dir).table("lineitem")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") % 3 == 0, F.lit(0).cast("long"))
+                        .otherwise(F.col("l_orderkey")))
+    one = keep_one(hot, ["l_orderkey"], [F.col("l_shipdate").desc_nulls_last()])
+    return one.select(*[c for c in li.columns if c != "l_shipdate"],
+                      F.col("l_shipdate").cast("string").alias("ship_date"))
+
+
+@query("lookup_hot_key")
+def lookup_hot_key(spark, sf_dir):
+    """O23 on the shuffle path under skew: a third of the lines point at
+    part 0 and a fifth have no part; every line keeps its row."""
+    t = tables(spark, sf_dir)
+    ln = F.col("l_linenumber")
+    part_key = (F.when(ln % 5 == 0, F.lit(None).cast("long"))
+                .when(ln % 3 == 0, F.lit(0).cast("long"))
+                .otherwise(F.col("l_partkey")))
+    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
+                                       part_key.alias("p_partkey"))
+    parts = t.table("part").select("p_partkey", "p_name", "p_brand")
+    return lookup_join(lines, parts, "p_partkey", "left", broadcast=False)
+
+
 @query("union_missing")
 def union_missing(spark, sf_dir):
     """Union by name, columns missing on one side NULL there."""

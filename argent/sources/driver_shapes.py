@@ -153,8 +153,8 @@ class DriverTables:
     # ------------------------------------------------------------ accounts
 
     def _accounts(self, status: str, party: str) -> DataFrame:
-        """orders with ``status`` -> payables (party = supplier of the first
-        line group) or receivables (party = the order's customer).
+        """orders with ``status`` -> payables (party = the lowest supplier key
+        among the order's lines) or receivables (party = the order's customer).
 
         Categories: the parts with the lowest and highest key among the
         order's lines (one element when equal; NULL without lines). No
