@@ -86,3 +86,9 @@ def test_fits_broadcast_checks_rows_and_bytes(spark):
 def test_fits_broadcast_refuses_huge_estimate_without_a_job(spark):
     big = spark.range(0, 10 ** 12)          # never scanned: the estimate decides
     assert not fits_broadcast(big, max_rows=10, max_bytes=1000)
+
+
+def test_explode_outer_keeps_empty_and_null(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, ["a"])], "id int, a array<string>")
+    got = explode_rows(df, "a", "e", keep=["id"], outer=True)
+    assert rows(got) == [(1, None), (2, None), (3, "a")]

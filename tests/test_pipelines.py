@@ -225,3 +225,19 @@ def test_nested_filter_reaches_the_scan(spark, tmp_path):
     plan = P.time_entries(spark.read.parquet(path))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "IsNotNull(user.id)" in plan, plan
+
+
+def test_job_subset_builds_dependencies(spark, t, tmp_path):
+    from argent.plans import job as J
+    from argent.sources.layers import LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    J.land_bronze(store, {"payables": t.payables(), "receivables": t.receivables(),
+                          "categories": t.categories()})
+    written = J.run(spark, store, RUN_TS, tables=["combined_accounts"])
+    assert set(written) == {"accounts_payable", "accounts_receivable", "categories",
+                            "combined_accounts"}
+    combined = store.read("Silver", "combined_accounts")
+    expect = P.combined_accounts(P.accounts_payable(t.payables(), RUN_TS),
+                                 P.accounts_receivable(t.receivables(), RUN_TS),
+                                 P.categories(t.categories(), RUN_TS))
+    assert rows(combined) == rows(expect)
