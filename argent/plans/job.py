@@ -75,23 +75,16 @@ def write_all(tasks: dict[str, Callable[[], str]], max_parallel: int) -> dict[st
         return {name: f.result() for name, f in futures.items()}
 
 
-def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
-        tables: Iterable[str] | None = None, max_parallel: int = 4) -> dict[str, str]:
-    """Build the Silver tables (all, or ``tables`` and what they need).
-    Returns table -> written path."""
-    run_ts = run_ts or run_timestamp(spark)
-    wanted = set(tables or SILVER_TABLES)
-    written: dict[str, str] = {}
-
+def builders(store: LayerStore, run_ts: str) -> dict[str, Callable[[], DataFrame]]:
+    """Silver table -> function building it from the stored Bronze tables
+    (and, for dependent tables, the stored Silver ones)."""
     def bronze(name: str) -> DataFrame:
         return store.read(BRONZE, name, B.ALL[name])
 
     def silver(name: str) -> DataFrame:
-        if name not in written:
-            raise KeyError(f"{name} must be built before it is read")
         return store.read(SILVER, name)
 
-    builders = {
+    return {
         "users": lambda: P.users(bronze("users")),
         "spaces": lambda: P.spaces(bronze("spaces")),
         "time_entries": lambda: P.time_entries(bronze("time_entries")),
@@ -111,14 +104,24 @@ def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
         "people": lambda: P.people(bronze("people"), run_ts),
         "sales": lambda: P.sales(bronze("sales"), bronze("sales_details"), run_ts),
     }
+
+
+def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
+        tables: Iterable[str] | None = None, max_parallel: int = 4) -> dict[str, str]:
+    """Build the Silver tables (all, or ``tables`` and what they need),
+    dependencies first. Returns table -> written path."""
+    run_ts = run_ts or run_timestamp(spark)
+    build = builders(store, run_ts)
+    wanted = set(tables or SILVER_TABLES)
     closure = set(wanted)
     for name in wanted:
         closure.update(NEEDS.get(name, ()))
     first = [n for n in SILVER_TABLES if n in closure and n not in NEEDS]
     second = [n for n in SILVER_TABLES if n in closure and n in NEEDS]
-    for level in (first, second):
+    written: dict[str, str] = {}
+    for level in (first, second):      # a level starts after the one before is written
         written.update(write_all(
-            {n: (lambda n=n: store.write(builders[n](), SILVER, n, SILVER_TABLES[n]))
+            {n: (lambda n=n: store.write(build[n](), SILVER, n, SILVER_TABLES[n]))
              for n in level}, max_parallel))
     return written
 

@@ -348,13 +348,8 @@ def layer_roundtrip(spark, sf_dir):
     return store.publish("Silver", "users", "Gold", folder="reports")
 
 
-@query("silver_run")
-def silver_run(spark, sf_dir):
-    """The whole job: every Bronze table landed, all 16
-    Silver tables written in dependency order and read back; one row count
-    per Silver table."""
-    t = tables(spark, sf_dir)
-    store = LayerStore(spark, f"{shared_dir(spark)}/argent-layers/{uuid.uuid4().hex}")
+def land_driver_bronze(t: DriverTables, store: LayerStore) -> None:
+    """All 13 Bronze shapes of the driver tables, written to ``store``."""
     J.land_bronze(store, {
         "users": t.users(), "spaces": t.spaces(), "time_entries": t.time_entries(),
         "payables": t.payables(), "receivables": t.receivables(),
@@ -362,6 +357,15 @@ def silver_run(spark, sf_dir):
         "dre_categories": t.dre_categories(), "financial_accounts": t.financial_accounts(),
         "installments": t.installments(), "people": t.people(), "sales": t.sales(),
         "sales_details": t.sales_details()})
+
+
+@query("silver_run")
+def silver_run(spark, sf_dir):
+    """The whole job: every Bronze table landed, all 16
+    Silver tables written in dependency order and read back; one row count
+    per Silver table."""
+    store = LayerStore(spark, f"{shared_dir(spark)}/argent-layers/{uuid.uuid4().hex}")
+    land_driver_bronze(tables(spark, sf_dir), store)
     J.run(spark, store, RUN_TS)
     counts = [store.read(J.SILVER, name).agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(name).alias("table_name"), "row_count")
