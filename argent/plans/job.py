@@ -126,10 +126,15 @@ def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
     return written
 
 
-def land_bronze(store: LayerStore, frames: dict[str, DataFrame], max_parallel: int = 4) -> None:
+def land_bronze(store: LayerStore, frames: dict[str, DataFrame], max_parallel: int = 4,
+                files: int | None = None) -> None:
     """Write Bronze tables (e.g. derived from test data) with their declared
-    schemas."""
+    schemas; ``files`` spreads each table over that many files, as landed
+    source tables are."""
     def task(name: str, df: DataFrame) -> Callable[[], str]:
         cols = [F.col(f.name).cast(f.dataType) for f in B.ALL[name].fields]
-        return lambda: store.write(df.select(*cols), BRONZE, name)
+        out = df.select(*cols)
+        if files:
+            out = out.repartition(files)
+        return lambda: store.write(out, BRONZE, name)
     write_all({name: task(name, df) for name, df in frames.items()}, max_parallel)

@@ -348,9 +348,9 @@ def layer_roundtrip(spark, sf_dir):
     return store.publish("Silver", "users", "Gold", folder="reports")
 
 
-def land_driver_bronze(t: DriverTables, store: LayerStore) -> None:
+def land_driver_bronze(t: DriverTables, store: LayerStore, files: int | None = None) -> None:
     """All 13 Bronze shapes of the driver tables, written to ``store``."""
-    J.land_bronze(store, {
+    J.land_bronze(store, files=files, frames={
         "users": t.users(), "spaces": t.spaces(), "time_entries": t.time_entries(),
         "payables": t.payables(), "receivables": t.receivables(),
         "categories": t.categories(), "contracts": t.contracts(),
