@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", app_name="argent-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="argent-warehouse-")
+    s = get_session("local[*]", app_name="argent-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -241,3 +241,15 @@ def test_job_subset_builds_dependencies(spark, t, tmp_path):
                                  P.accounts_receivable(t.receivables(), RUN_TS),
                                  P.categories(t.categories(), RUN_TS))
     assert rows(combined) == rows(expect)
+
+
+def test_catalog_store_roundtrip(spark, t):
+    from argent.sources.layers import CatalogStore
+    store = CatalogStore(spark)
+    users = P.users(t.users())
+    store.write(users, "Silver", "argent_test_users", folder="reports")
+    assert rows(store.read("Silver", "argent_test_users")) == rows(users)
+    props = {r.key: r.value for r in spark.sql(
+        "SHOW TBLPROPERTIES `silver`.`argent_test_users`").collect()}
+    assert props.get("argent.folder") == "reports"
+    assert store.publish("Silver", "argent_test_users", "Gold").count() == users.count()
