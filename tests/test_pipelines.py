@@ -253,3 +253,15 @@ def test_catalog_store_roundtrip(spark, t):
         "SHOW TBLPROPERTIES `silver`.`argent_test_users`").collect()}
     assert props.get("argent.folder") == "reports"
     assert store.publish("Silver", "argent_test_users", "Gold").count() == users.count()
+
+
+def test_layer_table_in_two_folders_is_refused(spark, t, tmp_path):
+    from argent.sources.layers import LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    users = P.users(t.users())
+    store.write(users, "Silver", "users", folder="a")
+    assert store.read("Silver", "users").count() == users.count()
+    store.write(users, "Silver", "users", folder="b")
+    with pytest.raises(ValueError):
+        store.read("Silver", "users")
+    assert store.read("Silver", "users", folder="b").count() == users.count()
