@@ -1,5 +1,6 @@
 from argent.functions.columns import (  # noqa: F401
     audit_timestamp,
+    complex_text,
     default_or,
     epoch_ms_to_timestamp,
     first_element,

@@ -130,6 +130,12 @@ def non_empty(c: ColumnOrName) -> Column:
     return col.isNotNull() & (F.size(col) > 0)
 
 
+def complex_text(c: ColumnOrName, as_json: bool = False) -> Column:
+    """Nested value as text (O39): Spark's text form (``[{1, x}, null]``,
+    what the original produces) or, as an opt-in, JSON."""
+    return F.to_json(_col(c)) if as_json else _col(c).cast("string")
+
+
 def surrogate_key(*parts: ColumnOrName, sep: str = "-") -> Column:
     """Text key joined by ``sep``; NULL parts are skipped."""
     return F.concat_ws(sep, *[_col(p) for p in parts])

@@ -88,3 +88,10 @@ def test_same_results_with_ansi_on_and_off(spark, ansi):
         test_long_to_int_overflow_is_null(spark)
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_complex_text_forms(spark):
+    df = spark.createDataFrame([([(1, "x"), None],)], "a array<struct<n:int,s:string>>")
+    spark_text, json_text = df.select(C.complex_text("a"), C.complex_text("a", as_json=True)).first()
+    assert spark_text == "[{1, x}, null]"
+    assert json_text == '[{"n":1,"s":"x"},null]'
