@@ -92,3 +92,13 @@ def test_explode_outer_keeps_empty_and_null(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, ["a"])], "id int, a array<string>")
     got = explode_rows(df, "a", "e", keep=["id"], outer=True)
     assert rows(got) == [(1, None), (2, None), (3, "a")]
+
+
+def test_lookup_join_shuffle_path_routes_null_keys_around_the_join(spark):
+    fact = spark.range(100).selectExpr("IF(id % 3 = 0, NULL, id % 7) AS k", "id AS v")
+    dim = spark.range(7).selectExpr("id AS k", "CAST(id AS STRING) AS name")
+    out = lookup_join(fact, dim, "k", "left", broadcast=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnull(" in plan and "isnotnull(" in plan, plan
+    assert out.count() == 100
+    assert out.filter("k IS NULL AND name IS NULL").count() == fact.filter("k IS NULL").count()
