@@ -138,3 +138,28 @@ def land_bronze(store: LayerStore, frames: dict[str, DataFrame], max_parallel: i
             out = out.repartition(files)
         return lambda: store.write(out, BRONZE, name)
     write_all({name: task(name, df) for name, df in frames.items()}, max_parallel)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m argent.plans.job --root <lake> [--tables a,b] [--format parquet]``:
+    one full-refresh run over the Bronze tables under ``<lake>/Bronze``."""
+    import argparse
+
+    from argent.session import get_session
+
+    ap = argparse.ArgumentParser(description="Bronze -> Silver run")
+    ap.add_argument("--root", required=True, help="lake root shared by all executors")
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--tables", default="", help="comma-separated Silver tables (default: all)")
+    ap.add_argument("--parallel", type=int, default=4, help="concurrent table writes")
+    args = ap.parse_args(argv)
+    spark = get_session(app_name="argent-job")
+    written = run(spark, LayerStore(spark, args.root, args.format),
+                  tables=[t for t in args.tables.split(",") if t] or None,
+                  max_parallel=args.parallel)
+    for name, path in written.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()

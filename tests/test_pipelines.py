@@ -265,3 +265,12 @@ def test_layer_table_in_two_folders_is_refused(spark, t, tmp_path):
     with pytest.raises(ValueError):
         store.read("Silver", "users")
     assert store.read("Silver", "users", folder="b").count() == users.count()
+
+
+def test_job_command_line(spark, t, tmp_path):
+    from argent.plans import job as J
+    from argent.sources.layers import LayerStore
+    root = str(tmp_path / "lake")
+    J.land_bronze(LayerStore(spark, root), {"users": t.users(), "spaces": t.spaces()})
+    J.main(["--root", root, "--tables", "users,spaces"])
+    assert LayerStore(spark, root).read("Silver", "users").count() == P.users(t.users()).count()
