@@ -37,7 +37,7 @@ from argent.operators.sets import union_by_name
 from argent.plans import bronze as B
 from argent.plans import job as J
 from argent.plans import pipelines as P
-from argent.session import prepare, shared_dir
+from argent.session import materialize, prepare, shared_dir
 from argent.sources.driver_shapes import RUN_TS, DriverTables
 from argent.sources.layers import LayerStore
 
@@ -97,10 +97,12 @@ def parent_categories(spark, sf_dir):
 @query("combined_accounts")
 def combined_accounts(spark, sf_dir):
     t = tables(spark, sf_dir)
+    # categories feed the size check and both sides of the hierarchy join:
+    # computed once (the job reads them back from the written Silver table)
     return P.combined_accounts(
         P.accounts_payable(t.payables(), RUN_TS),
         P.accounts_receivable(t.receivables(), RUN_TS),
-        P.categories(t.categories(), RUN_TS))
+        materialize(P.categories(t.categories(), RUN_TS)))
 
 
 @query("customers_contracts")
@@ -121,7 +123,9 @@ def dre_subitems(spark, sf_dir):
 
 
 def _dre_combined(spark, sf_dir) -> DataFrame:
-    bronze = tables(spark, sf_dir).dre_categories()
+    # items and sub-items both read the Bronze shape: built once, as the job
+    # reads one landed table twice
+    bronze = materialize(tables(spark, sf_dir).dre_categories())
     return P.dre_combined_items(P.dre_items(bronze, RUN_TS), P.dre_subitems(bronze, RUN_TS))
 
 

@@ -75,6 +75,16 @@ def shared_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and return a frame
+    reading it back: an intermediate consumed by several branches of one
+    plan is then computed once, and its lineage is cut (a lost executor
+    re-reads the checkpoint instead of recomputing). Never a local
+    checkpoint: it would not survive the loss of an executor."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
