@@ -16,10 +16,13 @@ from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
-# The text forms the permissive integer cast accepts -- an
-# integer with an optional decimal part ("12", "-3", " 7.9 ", "12.") or a
-# decimal part alone (".5", "-.25", which give 0).
-INTEGER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
+# Text that the permissive integer cast accepts, once stripped: an integer
+# with an optional decimal part ("12", "-3", "7.9", "12."), or a decimal part
+# alone, even an empty one (".5", "-.25", ".", "+.", which give 0).
+INTEGER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
+# What the permissive cast strips on both sides: white space and control
+# characters of ASCII.
+STRIPPED = "".join(map(chr, [*range(0x21), 0x7F]))
 
 _TYPE_NAMES = {
     "string": T.StringType(),
@@ -46,11 +49,11 @@ def _col(c: ColumnOrName) -> Column:
 def text_to_integer(c: ColumnOrName, target: str | T.DataType = "int") -> Column:
     """Integer from text, as the permissive cast does it, without failing.
 
-    ``"12.7"`` -> 12, ``"-0.9"`` -> 0, ``".5"`` -> 0, ``"1e3"``/``"abc"``/``""``
-    -> NULL, out of range -> NULL.
+    ``"12.7"`` -> 12, ``"-0.9"`` -> 0, ``".5"`` and ``"."`` -> 0, ``"\\t12"`` -> 12,
+    ``"1e3"``/``"abc"``/``""`` -> NULL, out of range -> NULL.
     """
     target_type = as_type(target)
-    text = F.trim(_col(c).cast("string"))
+    text = F.btrim(_col(c).cast("string"), F.lit(STRIPPED))
     whole = F.substring_index(text, ".", 1)
     # One regex validates the text; only validated digits reach the cast (a
     # failing cast costs a thrown exception per value, ~15 us).

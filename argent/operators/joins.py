@@ -3,9 +3,8 @@
 Broadcast only behind a measured size: :func:`fits_broadcast` counts the
 rows and sums the bytes of the small side with one distributed aggregate
 before the join is planned. Beyond the bound the join is a shuffle join on
-the key; fact rows whose key is NULL can never match, so they are routed
-around the shuffle instead of piling into the single partition that NULL
-hashes to. A hot non-NULL key is left to AQE's skew-join split
+the key; fact rows whose key is NULL can never match, so they are spread
+over the partitions instead of piling into the one that NULL hashes to. A hot non-NULL key is left to AQE's skew-join split
 (``spark.sql.adaptive.skewJoin.enabled``), which for a left join splits the
 fact side and replicates the (unique-key) dimension side.
 """
@@ -22,6 +21,10 @@ from pyspark.sql import types as T
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+#: Values over which the rows with a NULL key are spread on the shuffle path.
+NULL_SPREAD = 4096
+_SPREAD = "__argent_null_spread"
+
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
     T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.DateType: 4,
@@ -29,6 +32,14 @@ _FIXED_WIDTH = {
 }
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, getattr(T, "VariantType", T.MapType)))
+
+
 def _width(field: T.StructField):
     for cls, width in _FIXED_WIDTH.items():
         if isinstance(field.dataType, cls):
@@ -91,14 +102,14 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left",
         return fact.join(F.broadcast(dim), on, how)
     if how not in ("left", "left_outer", "leftouter"):
         return fact.join(dim, on, how)
+    # one pass over the fact: NULL keys match nothing, so a second join column
+    # that the dimension never has spreads them over the partitions
     key = F.col(f"`{on}`")
-    joined = fact.filter(key.isNotNull()).join(dim, on, how)
-    fact_rest = [c for c in fact.columns if c != on]
-    dim_rest = [f for f in dim.schema.fields if f.name != on]
-    unmatched = fact.filter(key.isNull()).select(
-        key, *[F.col(f"`{c}`") for c in fact_rest],
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim_rest])
-    return joined.unionByName(unmatched)
+    values = [F.col(f"`{f.name}`") for f in fact.schema.fields if _hashable(f.dataType)]
+    spread = F.when(key.isNotNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.xxhash64(*values), F.lit(NULL_SPREAD))).cast("int")
+    return fact.withColumn(_SPREAD, spread).join(
+        dim.withColumn(_SPREAD, F.lit(0)), [on, _SPREAD], how).drop(_SPREAD)
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

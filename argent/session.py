@@ -9,10 +9,13 @@ existing session.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 #: Time zone used to render timestamps as text (the reference renders in the
 #: session zone; we pin it so results repeat across machines).
@@ -38,11 +41,17 @@ def get_session(master: str | None = None, app_name: str = "argent",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    given = _given(active)
+    memory = _half_of_memory()
+    if active is None and memory and (master or given("spark.master") or "").startswith("local"):
+        conf["spark.driver.memory"] = memory  # local mode: the driver is the executor
+    # what the deployment or the session already sets wins over our defaults
+    conf = {k: v for k, v in conf.items() if given(k) is None}
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -51,6 +60,23 @@ def get_session(master: str | None = None, app_name: str = "argent",
     return spark
 
 
+def _given(active: SparkSession | None):
+    """Lookup of a setting that is set already, in the session or else in the
+    launch configuration; None where it is not."""
+    if active is not None:
+        return lambda key: active.conf.get(key, None)
+    launch = SparkConf()
+    return lambda key: launch.get(key, None)
+
+
+def _half_of_memory() -> str | None:
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return None
+    return f"{min(16, max(1, total // 2 ** 31))}g"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that results depend on; safe to call on any session."""
     spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
@@ -60,29 +86,58 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this setting names the shared (distributed) folder and we
-    only read it. Where it is unset -- local runs and tests -- we set our own
-    under the system temp folder, which is fine because there is only one
-    machine.
+    On a cluster this setting names the shared (distributed) folder; without
+    it nothing is written, for a folder of one machine would be seen by that
+    machine alone. Only a ``local[...]`` master, where there is one machine,
+    gets a folder of our own under the system temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="argent-ckpt-")
     sc.setCheckpointDir(local)
     # Spark appends a random sub-folder; use what it actually set.
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and return a frame
-    reading it back: an intermediate consumed by several branches of one
-    plan is then computed once, and its lineage is cut (a lost executor
-    re-reads the checkpoint instead of recomputing). Never a local
-    checkpoint: it would not survive the loss of an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_RUN_FOLDERS: dict[str, SparkSession] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A fresh folder under the shared one for intermediate tables, removed by
+    :func:`remove_run_folders` or at the end of the driver program."""
+    path = f"{shared_dir(spark)}/argent-run-{uuid.uuid4().hex}"
+    _RUN_FOLDERS[path] = spark
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def remove_run_folders() -> None:
+    """Delete this program's run folders; frames that read them end with them."""
+    for path, spark in list(_RUN_FOLDERS.items()):
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001 -- the session may be gone already
+            pass
+        _RUN_FOLDERS.pop(path, None)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet to a run folder and return a frame reading
+    it back: an intermediate consumed by several branches of one plan is
+    computed once, its columns are pruned per branch, and its lineage is cut
+    (a lost executor re-reads files that all can see)."""
+    path = run_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def env_int(name: str, default: int) -> int:

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from argent.operators.joins import lookup_join
 from argent.plans import bronze as B
+from argent.sources.shape import shaped_like
 
 # Fixed values shared with the SQL oracles.
 RUN_TS = "2024-01-01 00:00:00"
@@ -54,8 +55,8 @@ def pick(current: Column, old: Column) -> Column:
 
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns in order, cast to the declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """The declared columns in order, by name at every level."""
+    return shaped_like(df, schema)
 
 
 class DriverTables:
@@ -152,20 +153,26 @@ class DriverTables:
 
     # ------------------------------------------------------------ accounts
 
-    def _accounts(self, status: str, party: str) -> DataFrame:
-        """orders with ``status`` -> payables (party = the lowest supplier key
-        among the order's lines) or receivables (party = the order's customer).
+    def _accounts(self, payable: bool, party: str) -> DataFrame:
+        """orders -> payables (party = the lowest supplier key among the
+        order's lines) or receivables (party = the order's customer). Status F
+        is payable, O receivable, P payable for even order keys; what is not
+        payable is receivable, so every order is on exactly one side.
 
         Categories: the parts with the lowest and highest key among the
-        order's lines (one element when equal; NULL without lines). No
-        creation date when order % 17 = 0. Orders % 13 = 0 appear again as an
-        older version with the categories reversed."""
-        o = (self.table("orders").filter(F.col("o_orderstatus") == status)
+        order's lines (one element when equal; NULL without lines). Accounts
+        name parts % 11 = 0 by an id that no category has, so they are
+        orphans. No creation date when order % 17 = 0. Orders % 13 = 0 appear
+        again as an older version with the categories reversed."""
+        status = F.col("o_orderstatus")
+        is_payable = F.coalesce((status == "F") | ((status == "P") & (F.col("o_orderkey") % 2 == 0)), F.lit(False))
+        o = (self.table("orders").filter(is_payable if payable else ~is_payable)
              .join(self.order_summary(), F.col("o_orderkey") == F.col("l_orderkey"), "left"))
         p_min, p_max = F.col("p_min"), F.col("p_max")
 
         def cat(k: Column) -> Column:
-            return F.struct(F.concat(F.lit("C"), _s(k)).alias("id"),
+            prefix = F.when(k % 11 == 0, F.lit("X")).otherwise(F.lit("C"))
+            return F.struct(F.concat(prefix, _s(k)).alias("id"),
                             F.concat(F.lit("categoria "), _s(k)).alias("nome"))
 
         no_lines = F.col("l_orderkey").isNull()
@@ -205,18 +212,16 @@ class DriverTables:
         return conform_to(out, schema)
 
     def payables(self) -> DataFrame:
-        return self._accounts("F", "fornecedor")
+        return self._accounts(True, "fornecedor")
 
     def receivables(self) -> DataFrame:
-        return self._accounts("O", "cliente")
+        return self._accounts(False, "cliente")
 
     def categories(self) -> DataFrame:
-        """part -> one category per part (parts % 11 = 0 left out, so
-        accounts pointing at them are orphans), parent = the part's brand
-        (none when size % 9 = 0); one parent category per brand. Parts % 7 = 0
-        and every brand also appear as an older version."""
-        p = with_versions(self.table("part").filter(F.col("p_partkey") % 11 != 0),
-                          F.col("p_partkey") % 7 == 0)
+        """part -> one category per part, parent = the part's brand (none when
+        size % 9 = 0); one parent category per brand. Parts % 7 = 0 and every
+        brand also appear as an older version."""
+        p = with_versions(self.table("part"), F.col("p_partkey") % 7 == 0)
         parent = F.when(F.col("p_size") % 9 == 0, F.lit(None)).otherwise(F.col("p_brand"))
         parts = p.select(
             F.concat(F.lit("C"), _s("p_partkey")).alias("id"),
