@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 from argent.plans import bronze as B
 from argent.plans import pipelines as P
+from argent.plans.contracts import conform
+from argent.plans.silver import ALL as CONTRACTS
 from argent.sources.layers import LayerStore
+from argent.sources.shape import shaped_like
 
 BRONZE = "Bronze"
 SILVER = "Silver"
@@ -59,6 +62,14 @@ def run_timestamp(spark: SparkSession) -> str:
     return spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
 
 
+def located(names: dict[str, dict] | None, table: str, layer: str, folder: str | None = None) -> tuple[str, str, str | None]:
+    """(layer, name, folder) of a table: the caller's mapping ``table ->
+    {"layer": ..., "name": ..., "folder": ...}`` (any part may be left out)
+    over this job's own names."""
+    own = (names or {}).get(table, {})
+    return own.get("layer", layer), own.get("name", table), own.get("folder", folder)
+
+
 #: tables built from other Silver tables (read back after they are written)
 NEEDS = {
     "combined_accounts": ("accounts_payable", "accounts_receivable", "categories"),
@@ -75,14 +86,16 @@ def write_all(tasks: dict[str, Callable[[], str]], max_parallel: int) -> dict[st
         return {name: f.result() for name, f in futures.items()}
 
 
-def builders(store: LayerStore, run_ts: str) -> dict[str, Callable[[], DataFrame]]:
+def builders(store: LayerStore, run_ts: str, names: dict[str, dict] | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Silver table -> function building it from the stored Bronze tables
     (and, for dependent tables, the stored Silver ones)."""
     def bronze(name: str) -> DataFrame:
-        return store.read(BRONZE, name, B.ALL[name])
+        layer, table, folder = located(names, f"bronze.{name}", BRONZE)
+        return store.read(layer, table if table != f"bronze.{name}" else name, B.ALL[name], folder)
 
     def silver(name: str) -> DataFrame:
-        return store.read(SILVER, name)
+        layer, table, folder = located(names, name, SILVER)
+        return store.read(layer, table, folder=folder)
 
     return {
         "users": lambda: P.users(bronze("users")),
@@ -107,11 +120,24 @@ def builders(store: LayerStore, run_ts: str) -> dict[str, Callable[[], DataFrame
 
 
 def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
-        tables: Iterable[str] | None = None, max_parallel: int = 4) -> dict[str, str]:
+        tables: Iterable[str] | None = None, max_parallel: int = 4,
+        names: dict[str, dict] | None = None) -> dict[str, str]:
     """Build the Silver tables (all, or ``tables`` and what they need),
-    dependencies first. Returns table -> written path."""
+    dependencies first. Returns table -> written path. Each table is checked
+    against its contract before it is written.
+
+    ``names`` places tables under other names, layers and folders
+    (:func:`located`): Silver tables by their name here, Bronze tables as
+    ``bronze.<name>``."""
     run_ts = run_ts or run_timestamp(spark)
-    build = builders(store, run_ts)
+    build = builders(store, run_ts, names)
+
+    def save(name: str) -> str:
+        df = build[name]()
+        conform(df, CONTRACTS[name])
+        layer, table, folder = located(names, name, SILVER, SILVER_TABLES[name])
+        return store.write(df, layer, table, folder)
+
     wanted = set(tables or SILVER_TABLES)
     closure = set(wanted)
     for name in wanted:
@@ -121,8 +147,7 @@ def run(spark: SparkSession, store: LayerStore, run_ts: str | None = None,
     written: dict[str, str] = {}
     for level in (first, second):      # a level starts after the one before is written
         written.update(write_all(
-            {n: (lambda n=n: store.write(build[n](), SILVER, n, SILVER_TABLES[n]))
-             for n in level}, max_parallel))
+            {n: (lambda n=n: save(n)) for n in level}, max_parallel))
     return written
 
 
@@ -132,8 +157,7 @@ def land_bronze(store: LayerStore, frames: dict[str, DataFrame], max_parallel: i
     schemas; ``files`` spreads each table over that many files, as landed
     source tables are."""
     def task(name: str, df: DataFrame) -> Callable[[], str]:
-        cols = [F.col(f.name).cast(f.dataType) for f in B.ALL[name].fields]
-        out = df.select(*cols)
+        out = shaped_like(df, B.ALL[name])
         if files:
             out = out.repartition(files)
         return lambda: store.write(out, BRONZE, name)
@@ -144,6 +168,7 @@ def main(argv: list[str] | None = None) -> None:
     """``python -m argent.plans.job --root <lake> [--tables a,b] [--format parquet]``:
     one full-refresh run over the Bronze tables under ``<lake>/Bronze``."""
     import argparse
+    import json
 
     from argent.session import get_session
 
@@ -152,11 +177,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--tables", default="", help="comma-separated Silver tables (default: all)")
     ap.add_argument("--parallel", type=int, default=4, help="concurrent table writes")
+    ap.add_argument("--names", help="JSON file: table -> {layer, name, folder}; Bronze tables as bronze.<table>")
     args = ap.parse_args(argv)
+    names = None
+    if args.names:
+        with open(args.names, encoding="utf-8") as f:
+            names = json.load(f)
     spark = get_session(app_name="argent-job")
     written = run(spark, LayerStore(spark, args.root, args.format),
                   tables=[t for t in args.tables.split(",") if t] or None,
-                  max_parallel=args.parallel)
+                  max_parallel=args.parallel, names=names)
     for name, path in written.items():
         print(f"{name}\t{path}")
 

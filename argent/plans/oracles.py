@@ -9,6 +9,8 @@ the Spark side uses. Run by DuckDB with the driver tables registered as views.
 
 from __future__ import annotations
 
+from argent.plans.silver import ALL as CONTRACTS
+
 TS = "'2024-01-01 00:00:00'"
 
 
@@ -75,11 +77,16 @@ ls AS (SELECT l_orderkey, min(l_partkey) AS p_min, min(l_suppkey) AS s_min
        FROM lineitem GROUP BY l_orderkey)"""
 
 
-def _account(status: str, party: str) -> str:
+_PAYABLE = "coalesce(o.o_orderstatus = 'F' OR (o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0), FALSE)"
+
+
+def _account(party: str) -> str:
     if party == "fornecedor":
+        side = _PAYABLE
         join = "LEFT JOIN supplier s ON s.s_suppkey = ls.s_min"
         party_cols = "CAST(ls.s_min AS VARCHAR) AS fornecedor_id, s.s_name AS fornecedor_nome"
     else:
+        side = f"NOT {_PAYABLE}"
         join = "LEFT JOIN customer c ON c.c_custkey = o.o_custkey"
         party_cols = "CAST(o.o_custkey AS VARCHAR) AS cliente_id, c.c_name AS cliente_nome"
     return f"""
@@ -92,16 +99,17 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS id,
        CAST(CASE WHEN o.o_custkey % 2 = 0 THEN 0.0 ELSE o.o_totalprice END AS REAL) AS pago,
        {_day()} AS data_criacao,
        {_day("1 + o.o_custkey % 30")} AS data_alteracao,
-       'C' || CAST(ls.p_min AS VARCHAR) AS categoria_principal_id,
+       CASE WHEN ls.p_min % 11 = 0 THEN 'X' ELSE 'C' END || CAST(ls.p_min AS VARCHAR)
+         AS categoria_principal_id,
        'categoria ' || CAST(ls.p_min AS VARCHAR) AS categoria_principal_nome,
        {party_cols},
        {TS} AS _loaded_at
 FROM orders o JOIN ls ON ls.l_orderkey = o.o_orderkey {join}
-WHERE o.o_orderstatus = '{status}' AND o.o_orderkey % 17 <> 0"""
+WHERE {side} AND o.o_orderkey % 17 <> 0"""
 
 
-PAYABLE = f"WITH {_LINE_SUMMARY}\n{_account('F', 'fornecedor')}"
-RECEIVABLE = f"WITH {_LINE_SUMMARY}\n{_account('O', 'cliente')}"
+PAYABLE = f"WITH {_LINE_SUMMARY}\n{_account('fornecedor')}"
+RECEIVABLE = f"WITH {_LINE_SUMMARY}\n{_account('cliente')}"
 
 _PART_CATEGORY = """
        CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_brand END AS categoria_pai,
@@ -116,7 +124,7 @@ _GROUP_CATEGORY = """
 CATEGORIES_SILVER = f"""
 SELECT 'C' || CAST(p_partkey AS VARCHAR) AS id, p_name AS nome, p_size AS versao,
        {_PART_CATEGORY}, {TS} AS _loaded_at
-FROM part WHERE p_partkey % 11 <> 0
+FROM part
 UNION ALL
 SELECT p_brand AS id, replace(p_brand, 'Brand#', 'Marca ') AS nome, 2 AS versao,
        {_GROUP_CATEGORY}, {TS} AS _loaded_at
@@ -125,11 +133,11 @@ FROM (SELECT DISTINCT p_brand FROM part)
 
 CATEGORIES_BRONZE = f"""
 SELECT 'C' || CAST(p_partkey AS VARCHAR) AS id, p_name AS nome, p_size AS versao, {_PART_CATEGORY}
-FROM part WHERE p_partkey % 11 <> 0
+FROM part
 UNION ALL
 SELECT 'C' || CAST(p_partkey AS VARCHAR) AS id, p_name || ' (v0)' AS nome, p_size - 100 AS versao,
        {_PART_CATEGORY}
-FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 7 = 0
+FROM part WHERE p_partkey % 7 = 0
 UNION ALL
 SELECT p_brand AS id, replace(p_brand, 'Brand#', 'Marca ') AS nome, 2 AS versao, {_GROUP_CATEGORY}
 FROM (SELECT DISTINCT p_brand FROM part)
@@ -150,8 +158,8 @@ _ACC_COMMON = ("id, descricao, data_vencimento, status, total, nao_pago, pago, d
 
 COMBINED_ACCOUNTS = f"""
 WITH {_LINE_SUMMARY},
-pay AS ({_account('F', 'fornecedor')}),
-rec AS ({_account('O', 'cliente')}),
+pay AS ({_account('fornecedor')}),
+rec AS ({_account('cliente')}),
 cat AS ({CATEGORIES_SILVER}),
 acc AS (
   SELECT {_ACC_COMMON}, fornecedor_id, fornecedor_nome, _loaded_at, 'D' AS tipo,
@@ -171,6 +179,10 @@ LEFT JOIN cat c ON c.id = a.categoria_principal_id
 LEFT JOIN cat p ON p.id = c.categoria_pai
 """
 
+#: The parents' stored rows instead of one row per parent: duplicates fan out.
+COMBINED_FAN_OUT = COMBINED_ACCOUNTS.replace(
+    "LEFT JOIN cat p ON", f"LEFT JOIN ({CATEGORIES_BRONZE}) p ON")
+
 CUSTOMERS = f"""
 SELECT CAST(o.o_orderkey AS VARCHAR) AS id, CAST(o.o_custkey AS VARCHAR) AS cliente_id,
        c.c_name AS cliente_nome,
@@ -194,6 +206,9 @@ SELECT 'I' || CAST(o.o_orderkey AS VARCHAR) AS id,
        o.o_orderstatus = 'O' AS representa_soma_custo_medio,
        EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS tem_subitens,
        o.o_custkey % 3 = 2 AS tem_categorias_financeiras,
+       CASE o.o_custkey % 3 WHEN 0 THEN '[]'
+            WHEN 2 THEN '[{{K' || CAST(o.o_custkey AS VARCHAR) || ', ' || o.o_orderpriority || ', cliente, true}}]' END
+         AS categorias_financeiras,
        'item' AS tipo, {TS} AS _loaded_at
 FROM orders o"""
 
@@ -202,6 +217,11 @@ g AS (SELECT l_orderkey, l_returnflag AS f, l_linestatus AS s, count(*) AS n,
              min(l_partkey) AS p_min, max(l_partkey) AS p_max
       FROM lineitem GROUP BY l_orderkey, l_returnflag, l_linestatus)"""
 
+def _category_text(k: str) -> str:
+    return (f"'{{' || CASE WHEN {k} % 10 = 0 THEN 'null' ELSE 'C' || CAST({k} AS VARCHAR) END || ', ' || CAST({k} AS VARCHAR) "
+            f"|| ', categoria ' || CAST({k} AS VARCHAR) || CASE WHEN {k} % 2 = 0 THEN ', true}}' ELSE ', false}}' END")
+
+
 _DRE_SUB_SELECT = f"""
 SELECT 'S' || CAST(l_orderkey AS VARCHAR) || '-' || f || s AS id,
        'grupo ' || f || s AS descricao,
@@ -211,12 +231,14 @@ SELECT 'S' || CAST(l_orderkey AS VARCHAR) || '-' || f || s AS id,
        f = 'R' AS representa_soma_custo_medio,
        'I' || CAST(l_orderkey AS VARCHAR) AS parent_item_id,
        TRUE AS tem_categorias_financeiras,
+       '[' || {_category_text("p_min")} || CASE WHEN p_max <> p_min THEN ', ' || {_category_text("p_max")} ELSE '' END || ']'
+         AS categorias_financeiras,
        'subitem' AS tipo, {TS} AS _loaded_at
 FROM g"""
 
 DRE_ITEMS = f"""
 SELECT id, descricao, codigo, posicao, indica_totalizador, representa_soma_custo_medio,
-       tem_subitens, tem_categorias_financeiras, tipo, _loaded_at
+       tem_subitens, tem_categorias_financeiras, categorias_financeiras, tipo, _loaded_at
 FROM ({_DRE_ITEM_SELECT})
 """
 
@@ -227,10 +249,10 @@ WITH {_DRE_GROUPS},
 it AS ({_DRE_ITEM_SELECT}),
 sub AS ({_DRE_SUB_SELECT})
 SELECT id, parent_item_id, descricao, codigo, posicao, indica_totalizador,
-       representa_soma_custo_medio, tipo FROM it
+       representa_soma_custo_medio, tipo, categorias_financeiras FROM it
 UNION ALL
 SELECT id, parent_item_id, descricao, codigo, posicao, indica_totalizador,
-       representa_soma_custo_medio, tipo FROM sub
+       representa_soma_custo_medio, tipo, categorias_financeiras FROM sub
 """
 
 DRE_FINANCIAL_CATEGORIES = f"""
@@ -436,7 +458,9 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_quantity AS REAL) END AS qty_float,
        CAST(trunc(l_extendedprice) AS INTEGER) AS price_int,
        CAST(trunc(l_extendedprice) AS INTEGER) AS price_trunc,
-       CASE WHEN l_linestatus = 'F' THEN TRUE ELSE NULL END AS shipped
+       CASE WHEN l_linestatus = 'F' THEN TRUE ELSE NULL END AS shipped,
+       CASE l_linenumber WHEN 1 THEN CAST(l_suppkey AS INTEGER) WHEN 2 THEN CAST(l_suppkey AS INTEGER)
+            WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE CAST(l_suppkey AS INTEGER) END AS odd_int
 FROM lineitem
 """
 
@@ -554,9 +578,31 @@ _SILVER_COUNTS = {
     "installment_payments": INSTALLMENT_PAYMENTS, "people": PEOPLE, "sales": SALES,
 }
 
-SILVER_RUN = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) AS {name}_rows"
-    for name, sql in _SILVER_COUNTS.items())
+
+
+def _digest(table: str, sql: str) -> str:
+    """Row count and a digest of all values: the sum of the first 32 bits of
+    each row's MD5, the row written as text (money in whole hundredths)."""
+    text = [f"coalesce(CAST(CAST(round(CAST({c.name} AS DOUBLE) * 100) AS BIGINT) AS VARCHAR), '~')" if c.type == "float"
+            else f"coalesce(CAST({c.name} AS VARCHAR), '~')" for c in CONTRACTS[table].columns]
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, "
+            f"CAST(coalesce(sum(CAST('0x' || substr(md5({" || '|' || ".join(text)}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest "
+            f"FROM ({sql}) AS {table}_rows")
+
+
+SILVER_RUN = "\nUNION ALL\n".join(_digest(name, sql) for name, sql in _SILVER_COUNTS.items())
+
+BRONZE_DRIFT = "\nUNION ALL\n".join(_digest(name, _SILVER_COUNTS[name]) for name in ("sales", "categories", "time_entries"))
+
+SALES_HOT_KEY = f"""
+WITH s AS ({SALES}),
+h AS (SELECT s.* REPLACE (CASE WHEN id_legado % 5 = 0 THEN NULL WHEN id_legado % 3 = 0 THEN '1' ELSE id END AS id) FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY data_alteracao DESC NULLS LAST, total ASC NULLS FIRST,
+                                   id_legado ASC NULLS FIRST) AS rn FROM h),
+d AS (SELECT id, situacao_nome, situacao_descricao FROM s)
+SELECT r.* EXCLUDE (rn) REPLACE (d.situacao_nome AS situacao_nome, d.situacao_descricao AS situacao_descricao)
+FROM r LEFT JOIN d ON d.id = r.id WHERE rn = 1
+"""
 
 ORACLES: dict[str, str] = {
     "users_clean": USERS,
@@ -595,4 +641,8 @@ ORACLES: dict[str, str] = {
     "audit_column": f"SELECT c_custkey, {TS} AS _loaded_at FROM customer",
     "layer_roundtrip": USERS,
     "silver_run": SILVER_RUN,
+    "bronze_drift": BRONZE_DRIFT,
+    "sales_hot_key": SALES_HOT_KEY,
+    "template_run": HIGH_VALUE_DEALS,
+    "combined_accounts_fan_out": COMBINED_FAN_OUT,
 }

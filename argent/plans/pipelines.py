@@ -13,14 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.functions.columns import non_empty, safe_cast, surrogate_key
+from argent.functions.columns import non_empty, safe_cast
 from argent.operators.dedup import keep_one
 from argent.operators.filters import all_of, greater_than, is_true, not_null
-from argent.operators.joins import fits_broadcast, lookup_join, rows_referenced_by
+from argent.operators.joins import lookup_join, rows_referenced_by
 from argent.operators.nested import explode_rows
 from argent.operators.sets import tagged, union_by_name
 from argent.plans import silver as C
-from argent.plans.contracts import Contract, Out, project
+from argent.plans.contracts import AUDIT, Contract, Out, project
 
 
 def to_silver(df: DataFrame, contract: Contract, run_ts: str | None,
@@ -118,16 +118,11 @@ def combined_accounts(payable: DataFrame, receivable: DataFrame,
     parent = (categories_silver if parents is None else parents).select(
         F.col("id").cast("string").alias("categoria_pai_id"),
         F.col("nome").cast("string").alias("categoria_pai_nome"))
-    if broadcast is None and parents is None:
-        # P6 output is unique by id, so the hierarchy below has one row per
-        # category: one measurement of the categories bounds every side.
-        broadcast = fits_broadcast(categories_silver)
-    # dimension-sized: one row per category (more only in fan-out mode)
+    # Each side is measured by itself: the hierarchy repeats a parent's name on
+    # every child, so a small categories table doesn't bound it.
     hierarchy = lookup_join(child, parent, "categoria_pai_id", "left", broadcast)
-    if broadcast is None:
-        broadcast = fits_broadcast(hierarchy)
     out = lookup_join(accounts, hierarchy, "categoria_principal_id", "left", broadcast)
-    return out.select(*C.COMBINED_ACCOUNTS_COLUMNS)
+    return out.select(*C.COMBINED_ACCOUNTS.names)
 
 
 # ------------------------------------------------------------ income statement (DRE)
@@ -158,8 +153,7 @@ def dre_financial_categories(combined: DataFrame, run_ts: str | None = None) ->
     surrogate key; no de-duplication."""
     rows = explode_rows(combined, "categorias_financeiras", "categoria_financeira",
                         keep=["id", "parent_item_id", "tipo"])
-    out = project(rows, C.DRE_FINANCIAL_CATEGORIES.columns, run_ts)
-    return out.withColumn("record_id", surrogate_key("origem_tipo", "origem_id", "categoria_id"))
+    return project(rows, C.DRE_FINANCIAL_CATEGORIES.columns, run_ts)
 
 
 # ------------------------------------------------------------ installments
@@ -193,14 +187,22 @@ def sales(sales_list: DataFrame, sales_details: DataFrame,
           run_ts: str | None = None) -> DataFrame:
     """Sales enriched with their status from the details table.
 
-    Details are reduced to one per sale before the join (the row the final
-    keep-one would pick anyway), so a sale with many details does not fan
-    out through the join's shuffle.
+    Both sides are reduced to one row per sale before the join, each behind a
+    partial limit, so neither a hot sale id nor sales without an id (one group,
+    as in any keep-one) reach one task, and the join is one to one. The
+    details' status is one per sale, so the row kept is the one that a
+    keep-one after the join would keep.
     """
-    details = keep_one(sales_details, ["sales_id"])
-    joined = sales_list.alias("sl").join(
-        details.alias("sd"), F.col("sl.id") == F.col("sd.sales_id"), "left")
-    return to_silver(joined, C.SALES, run_ts)
+    status = tuple(c for c in C.SALES.columns if str(c.source).startswith("sd."))
+    own = Contract("sales", tuple(c for c in C.SALES.columns if c not in status and c.source != AUDIT),
+                   key=C.SALES.key, order=C.SALES.order)
+    listed = to_silver(sales_list.alias("sl"), own, run_ts)
+    # only the paths that are used: the tie-break then doesn't widen the read
+    details = project(sales_details.alias("sd"), (Out("sales_id", "string", "sd.sales_id"), *status))
+    joined = listed.join(keep_one(details, ["sales_id"]).withColumnRenamed("sales_id", "id"), "id", "left")
+    audit = tuple(c for c in C.SALES.columns if c.source == AUDIT)
+    return project(joined, tuple(Out(c.name, c.type) for c in C.SALES.columns if c not in audit) + audit, run_ts) \
+        .select(*C.SALES.names)
 
 
 # ------------------------------------------------------------ template

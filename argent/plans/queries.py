@@ -5,14 +5,12 @@ from the flat driver tables (:mod:`argent.sources.driver_shapes`), runs the
 pipeline or operator on it and returns the result without collecting it.
 The matching DuckDB SQL is in :mod:`argent.plans.oracles`.
 
-Nested array columns are left out of the compared output of the DRE
-queries (the pipelines keep them; the tests check them) because a nested
-value has no engine-neutral form to hash.
+The DRE queries return their nested array column as text, so that all that
+is published is compared.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +35,10 @@ from argent.operators.sets import union_by_name
 from argent.plans import bronze as B
 from argent.plans import job as J
 from argent.plans import pipelines as P
-from argent.session import materialize, prepare, shared_dir
+from argent.plans.silver import ALL as SILVER
+from argent.session import materialize, prepare, run_folder
 from argent.sources.driver_shapes import RUN_TS, DriverTables
-from argent.sources.layers import LayerStore
+from argent.sources.layers import LayerStore, load_table, save_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -110,16 +109,18 @@ def customers_contracts(spark, sf_dir):
     return P.customers(tables(spark, sf_dir).contracts(), RUN_TS)
 
 
+def nested_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("categorias_financeiras", F.col("categorias_financeiras").cast("string"))
+
+
 @query("dre_items")
 def dre_items(spark, sf_dir):
-    return P.dre_items(tables(spark, sf_dir).dre_categories(), RUN_TS) \
-        .drop("categorias_financeiras")
+    return nested_as_text(P.dre_items(tables(spark, sf_dir).dre_categories(), RUN_TS))
 
 
 @query("dre_subitems")
 def dre_subitems(spark, sf_dir):
-    return P.dre_subitems(tables(spark, sf_dir).dre_categories(), RUN_TS) \
-        .drop("categorias_financeiras")
+    return nested_as_text(P.dre_subitems(tables(spark, sf_dir).dre_categories(), RUN_TS))
 
 
 def _dre_combined(spark, sf_dir) -> DataFrame:
@@ -131,7 +132,7 @@ def _dre_combined(spark, sf_dir) -> DataFrame:
 
 @query("dre_combined_items")
 def dre_combined_items(spark, sf_dir):
-    return _dre_combined(spark, sf_dir).drop("categorias_financeiras")
+    return nested_as_text(_dre_combined(spark, sf_dir))
 
 
 @query("dre_financial_categories")
@@ -186,6 +187,10 @@ def safe_cast_matrix(spark, sf_dir):
     text = T.StringType()
     qty = F.when(F.col("l_linenumber") == 3, F.lit("x")).otherwise(F.col("l_quantity").cast("string"))
     price = F.col("l_extendedprice").cast("string")
+    key, ln = F.col("l_suppkey").cast("string"), F.col("l_linenumber")
+    odd = (F.when(ln == 1, F.concat(F.lit("\t\n"), key, F.lit("\x7f"))).when(ln == 2, F.concat(F.lit("\x00 "), key, F.lit(".")))
+           .when(ln == 3, F.lit(".")).when(ln == 4, F.lit("+.")).when(ln == 5, F.lit("+"))
+           .when(ln == 6, F.concat(key, F.lit("\u00a0"))).otherwise(F.concat(F.lit("+"), key, F.lit(".99\r"))))
     shipped = F.when(F.col("l_linestatus") == "F", F.lit("true")).otherwise(F.lit("maybe"))
     return li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -194,7 +199,8 @@ def safe_cast_matrix(spark, sf_dir):
         safe_cast(qty, "float", text).alias("qty_float"),
         safe_cast(price, "int", text).alias("price_int"),
         safe_cast("l_extendedprice", "int", T.DoubleType()).alias("price_trunc"),
-        safe_cast(shipped, "boolean", text).alias("shipped"))
+        safe_cast(shipped, "boolean", text).alias("shipped"),
+        safe_cast(odd, "int", text).alias("odd_int"))
 
 
 @query("epoch_ms_text")
@@ -344,7 +350,7 @@ def layer_roundtrip(spark, sf_dir):
     """Landed raw files -> Bronze -> Silver -> Gold, in the shared
     folder of the session (``spark.checkpoint.dir``)."""
     t = tables(spark, sf_dir)
-    store = LayerStore(spark, f"{shared_dir(spark)}/argent-layers/{uuid.uuid4().hex}")
+    store = LayerStore(spark, run_folder(spark))
     raw = f"{store.root}/landing/users"
     t.users().write.mode("overwrite").json(raw)        # the extractor's raw files
     bronze = store.land(raw, "Bronze", "users", B.USERS, folder="time_tracking")
@@ -363,15 +369,86 @@ def land_driver_bronze(t: DriverTables, store: LayerStore, files: int | None = N
         "sales_details": t.sales_details()})
 
 
+def digest(df: DataFrame, table: str) -> DataFrame:
+    """Row count and a digest of all values of a Silver table that any engine
+    can compute: the sum of the first 32 bits of each row's MD5, the row
+    written as text (money in whole hundredths)."""
+    text = [F.coalesce((F.round(F.col(c.name).cast("double") * 100).cast("long") if c.type == "float"
+                        else F.col(c.name)).cast("string"), F.lit("~")) for c in SILVER[table].columns]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest")) \
+        .select(F.lit(table).alias("table_name"), "row_count", "digest")
+
+
 @query("silver_run")
 def silver_run(spark, sf_dir):
     """The whole job: every Bronze table landed, all 16
-    Silver tables written in dependency order and read back; one row count
-    per Silver table."""
-    store = LayerStore(spark, f"{shared_dir(spark)}/argent-layers/{uuid.uuid4().hex}")
+    Silver tables written in dependency order and read back; row count and
+    digest of the values per Silver table."""
+    store = LayerStore(spark, run_folder(spark))
     land_driver_bronze(tables(spark, sf_dir), store)
     J.run(spark, store, RUN_TS)
-    counts = [store.read(J.SILVER, name).agg(F.count(F.lit(1)).alias("row_count"))
-              .select(F.lit(name).alias("table_name"), "row_count")
-              for name in J.SILVER_TABLES]
-    return union_by_name(counts)
+    return union_by_name([digest(store.read(J.SILVER, name), name) for name in J.SILVER_TABLES])
+
+
+def drifted(df: DataFrame) -> DataFrame:
+    """``df`` as another writer may have stored it: nested fields in reverse
+    order with an extra one, integers as text with a decimal part."""
+    def other(col, dtype):
+        if isinstance(dtype, T.StructType):
+            fields = [other(col.getField(f.name), f.dataType).alias(f.name) for f in reversed(dtype.fields)]
+            return F.when(col.isNotNull(), F.struct(F.lit("extra").alias("a_extra"), *fields))
+        if isinstance(dtype, T.ArrayType):
+            return F.transform(col, lambda x: other(x, dtype.elementType))
+        return F.concat(col.cast("string"), F.lit(".0")) if isinstance(dtype, T.IntegerType) else col
+    return df.select(F.lit(1).alias("a_extra"), *[other(F.col(f.name), f.dataType).alias(f.name) for f in reversed(df.schema.fields)])
+
+
+@query("bronze_drift")
+def bronze_drift(spark, sf_dir):
+    """Bronze tables whose stored schema drifted, read by name against
+    the declared one; digests of the Silver tables made from them."""
+    t = tables(spark, sf_dir)
+    store = LayerStore(spark, run_folder(spark))
+    for name, df in {"sales": t.sales(), "sales_details": t.sales_details(), "categories": t.categories(),
+                     "time_entries": t.time_entries()}.items():
+        store.write(drifted(df), J.BRONZE, name)
+    bronze = lambda name: store.read(J.BRONZE, name, B.ALL[name])
+    return union_by_name([
+        digest(P.sales(bronze("sales"), bronze("sales_details"), RUN_TS), "sales"),
+        digest(P.categories(bronze("categories"), RUN_TS), "categories"),
+        digest(P.time_entries(bronze("time_entries")), "time_entries")])
+
+
+@query("sales_hot_key")
+def sales_hot_key(spark, sf_dir):
+    """P18 under skew: a third of the sales have one id, a fifth have none."""
+    t = tables(spark, sf_dir)
+    n = F.col("id").cast("long")
+    listed = t.sales().withColumn("id", F.when(n % 5 == 0, F.lit(None)).when(n % 3 == 0, F.lit("1")).otherwise(F.col("id")))
+    return P.sales(listed, t.sales_details(), RUN_TS)
+
+
+@query("combined_accounts_fan_out")
+def combined_accounts_fan_out(spark, sf_dir):
+    """P9 with the parents' stored rows: a parent stored twice gives two rows
+    per account of its children, as the original job had it."""
+    t = tables(spark, sf_dir)
+    return P.combined_accounts(
+        P.accounts_payable(t.payables(), RUN_TS), P.accounts_receivable(t.receivables(), RUN_TS),
+        materialize(P.categories(t.categories(), RUN_TS)), parents=materialize(P.parent_categories(t.categories())))
+
+
+@query("template_run")
+def template_run(spark, sf_dir):
+    """O3, P19, P20 as a user runs them: load two tables by name, join, filter,
+    save to two layers (one with a folder), read the last one."""
+    t = tables(spark, sf_dir)
+    store = LayerStore(spark, run_folder(spark))
+    save_table(t.deals(), "Bronze", "deals", store=store)
+    save_table(t.persons(), "Bronze", "persons", store=store)
+    joined = P.deals_persons(load_table("Bronze", "deals", store=store), load_table("Bronze", "persons", store=store))
+    save_table(joined, layer_name="Silver", table_name="deals_persons", store=store)
+    high = P.high_value_deals(load_table(layer_name="Silver", table_name="deals_persons", store=store), 1000)
+    save_table(high, layer_name="Gold", table_name="high_value_deals", folder_name="sales", store=store)
+    return load_table(layer_name="Gold", table_name="high_value_deals", store=store)

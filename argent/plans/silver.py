@@ -19,6 +19,7 @@ from argent.functions.columns import (
     has_elements,
     last_element,
     last_of,
+    surrogate_key,
     tag,
 )
 from argent.plans.contracts import AUDIT, Contract, Out
@@ -134,12 +135,27 @@ CUSTOMERS = Contract(
 )
 
 #: combined accounts (P9), in the order a USING join produces
-COMBINED_ACCOUNTS_COLUMNS = (
-    "categoria_pai_id", "categoria_principal_id", "id", "descricao",
-    "data_vencimento", "status", "total", "nao_pago", "pago", "data_criacao",
-    "data_alteracao", "categoria_principal_nome", "fornecedor_id",
-    "fornecedor_nome", "_loaded_at", "tipo", "cliente_id", "cliente_nome",
-    "categoria_pai_nome",
+COMBINED_ACCOUNTS = Contract(
+    "combined_accounts",
+    (Out("categoria_pai_id", "string"),
+     Out("categoria_principal_id", "string"),
+     Out("id", "string"),
+     Out("descricao", "string"),
+     Out("data_vencimento", "string"),
+     Out("status", "string"),
+     Out("total", "float"),
+     Out("nao_pago", "float"),
+     Out("pago", "float"),
+     Out("data_criacao", "string"),
+     Out("data_alteracao", "string"),
+     Out("categoria_principal_nome", "string"),
+     Out("fornecedor_id", "string"),
+     Out("fornecedor_nome", "string"),
+     Out("_loaded_at", "string"),
+     Out("tipo", "string"),
+     Out("cliente_id", "string"),
+     Out("cliente_nome", "string"),
+     Out("categoria_pai_nome", "string")),
 )
 
 DRE_ITEMS = Contract(
@@ -191,7 +207,8 @@ DRE_FINANCIAL_CATEGORIES = Contract(
      Out("origem_tipo", "string", "tipo"),
      Out("origem_id", "string", "id"),
      Out("origem_item_id", "string", "parent_item_id"),
-     Out("_loaded_at", "string", AUDIT)),
+     Out("_loaded_at", "string", AUDIT),
+     Out("record_id", "string", lambda: surrogate_key("tipo", "id", "categoria_financeira.id"))),
 )
 
 
@@ -337,5 +354,5 @@ SALES = Contract(
 
 ALL = {c.name: c for c in (
     USERS, SPACES, TIME_ENTRIES, ACCOUNTS_PAYABLE, ACCOUNTS_RECEIVABLE,
-    CATEGORIES, CUSTOMERS, DRE_ITEMS, DRE_SUBITEMS, DRE_FINANCIAL_CATEGORIES,
+    CATEGORIES, CUSTOMERS, COMBINED_ACCOUNTS, DRE_ITEMS, DRE_SUBITEMS, DRE_FINANCIAL_CATEGORIES,
     INSTALLMENTS, INSTALLMENT_PAYMENTS, FINANCIAL_ACCOUNTS, PEOPLE, SALES)}
