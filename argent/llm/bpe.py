@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import table
+from argent.llm.common import ship, table
 
 #: Distinct pretokens a Python worker remembers before it starts anew.
 REMEMBERED = 700_000
@@ -230,6 +230,7 @@ def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
 def tokenized(df: DataFrame, text: str, keep: list[str], vocabulary_json: str, pattern: str) -> DataFrame:
     """Columns ``keep`` of every row with ``ids`` (comma-separated decimal
     ids), ``n_tokens`` and ``decoded`` (the text decoded from the ids)."""
+    ship(df.sparkSession)
     schema = df.select(*keep).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary_json)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from argent.session import shared_dir
+from argent.session import run_folder
 
-_FOLDERS: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +25,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir``, removed when
     the driver program ends (results are read lazily, so not earlier)."""
-    path = f"{shared_dir(spark)}/argent-llm-{uuid.uuid4().hex}/{name}"
-    _FOLDERS.append((spark, path.rsplit("/", 1)[0]))
-    return path
+    return f"{run_folder(spark)}/{name}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application
+    (they need not share the driver's folders or its import path)."""
+    app = spark.sparkContext.applicationId
+    package = Path(__file__).resolve().parent.parent
+    if app in _SHIPPED or not package.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="argent-code-")) / f"{package.name}-code.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
@@ -37,17 +51,6 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@atexit.register
-def _remove_folders() -> None:
-    for spark, folder in _FOLDERS:
-        try:
-            jvm = spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # noqa: BLE001 -- the session may be gone already
-            return
-
-
 def unit_interval(hash64: Column) -> Column:
     """A 64-bit hash as a double strictly between 0 and 1."""
     return (F.shiftrightunsigned(hash64, 11).cast("double") + 0.5) / float(1 << 53)
