@@ -9,6 +9,7 @@
    each voter fires given the true label, so its accuracy; from the
    posterior it estimates the correlation of each pair of voters given the
    label, and discounts the evidence of voters that say the same thing twice.
+   A voter that sees nothing abstains.
 4. A linear classifier (logistic regression on the same lexicon and pattern
    features, counted over a text's distinct words) is trained on the posterior
    labels and scores every whole text.
@@ -43,6 +44,12 @@ SAMPLE_BYTES = 48 * 1024 * 1024
 #: Bounds of the mined features and of the voters taken from them.
 FEATURES = 3000
 VOTERS = 400
+#: How often the label itself says toxic of a clean and of a toxic text.
+LABEL_RATES = (0.002, 0.98)
+#: Least share of toxic texts among those that a mined voter fires on.
+PRECISION = 0.75
+#: Ridge penalty of the classifier.
+RIDGE = 1e-4
 #: A feature is mined from at least so many texts.
 LEAST_TEXTS = 5
 #: Share of the rows held out, as crc32 of the id modulo this being 0.
@@ -87,26 +94,33 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> tupl
     """Posterior P(toxic) per text, firing rates [label, voter] and the weight
     of each voter after the discount for correlation.
 
-    ``votes``: texts x voters, 1 where a voter fires; ``labels``: the noisy
-    label, a voter like others but with rates that start near the truth."""
-    n, m = votes.shape
+    ``votes``: texts x voters, 1 where a voter says toxic, 0 where it abstains
+    (a voter that sees nothing says nothing); the last voter fires if any
+    other does, so its silence is a vote for clean. ``labels``: the noisy
+    label, which votes either way with the stated rates, so that the voters
+    cannot drift away from what the labels mean.
+    Correlations are those that the estimated label doesn't explain, taken
+    once the accuracies have settled."""
     given = np.column_stack((votes, labels)).astype(np.float64)
+    m = given.shape[1]
     post = 0.05 + 0.9 * labels
-    weight = np.ones(m + 1)
+    weight = np.ones(m)
     for step in range(rounds):
         prior = np.clip(post.mean(), 0.01, 0.99)
         mass = np.array([(1 - post).sum(), post.sum()])
         rates = np.vstack(((1 - post) @ given, post @ given))
-        # each voter may err: one text's worth of the other answer on either side
-        rates = np.clip((rates + np.array([[0.02], [0.2]])) / (mass[:, None] + 1), 1e-4, 1 - 1e-4)
-        if step and step % 10 == 0:
-            centred = given - ((1 - post)[:, None] * rates[0] + post[:, None] * rates[1])
+        # each voter may err: a share of one text on either side
+        rates = np.clip((rates + np.array([[0.1], [0.2]])) / (mass[:, None] + 1), 1e-5, 1 - 1e-5)
+        rates[:, -1] = LABEL_RATES
+        if step == rounds // 2:
+            centred = given[:, :-2] - ((1 - post)[:, None] * rates[0, :-2] + post[:, None] * rates[1, :-2])
             scale = np.sqrt((centred ** 2).sum(axis=0)) + 1e-9
             rho = np.abs((centred.T @ centred) / np.outer(scale, scale))
-            rho[rho < 0.1] = 0  # what chance alone gives
-            weight = 1 / rho.sum(axis=1)
+            rho[rho < 0.2] = 0  # what chance alone gives
+            weight[:-2] = 1 / np.maximum(rho.sum(axis=1), 1)
         fired = np.log(rates[1] / rates[0])
         silent = np.log((1 - rates[1]) / (1 - rates[0]))
+        silent[:-2] = 0
         odds = np.log(prior / (1 - prior)) + given @ (weight * fired) + (1 - given) @ (weight * silent)
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return post, rates, weight
@@ -114,6 +128,8 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> tupl
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Mine the voters, fit the label model, train the classifier."""
+    seen_texts = dict(zip(texts, labels))  # equal texts count once
+    texts, labels = list(seen_texts), list(seen_texts.values())
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         return STATED
@@ -148,27 +164,33 @@ def fit(texts: list[str], labels: list[int]) -> Model:
                 if f in index:
                     rows.append(r), cols.append(index[f])
     rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
-    voting = [index[f] for f in mined[:VOTERS]] + [index[f] for f in sorted(stated) if seen[f]]
+    precise = [f for f in mined if toxic[f] >= PRECISION * seen[f]]
+    # a stated word that the sample often has in clean texts doesn't vote
+    agreed = [f for f in sorted(stated) if seen[f] and (seen[f] < LEAST_TEXTS or toxic[f] >= PRECISION * seen[f])]
+    voting = [index[f] for f in precise[:VOTERS] + agreed]
     voting = list(dict.fromkeys(voting))
     fires = np.zeros((len(texts), len(names)), bool)
     fires[rows, cols] = True
     patterns = np.array([[bool(_SHOUT.search(t)), bool(_ADDRESS.search(t))] for t in texts])
     any_hit = fires[:, voting].any(axis=1, keepdims=True)
     post, rates, weight = label_model(np.column_stack((fires[:, voting], patterns, any_hit)), y)
-    # logistic regression on soft labels; counts of distinct words with the feature
-    value, bias, step = np.zeros(len(names)), -3.0, None
+    # logistic regression on soft labels, both classes of equal weight; the
+    # features are counts of distinct words that have them
+    value, bias = np.zeros(len(names)), -1.0
     m1, m2 = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
-    for step in range(1, 401):
+    share = np.clip(post.mean(), 0.01, 0.99)
+    matter = (post * 0.5 / share + (1 - post) * 0.5 / (1 - share)) / len(texts)
+    for step in range(1, 601):
         z = bias + np.bincount(rows, value[cols], len(texts))
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - post) / len(texts)
-        g = np.append(np.bincount(cols, error[rows], len(names)) + 1e-5 * value, error.sum())
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - post) * matter
+        g = np.append(np.bincount(cols, error[rows], len(names)) + RIDGE * value, error.sum())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
-        move = 0.1 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-9)
+        move = 0.05 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-7)
         value, bias = value - move[:-1], bias - move[-1]
     weights = {f: float(v) for f, v in zip(names, value) if abs(v) > 1e-3}
     voters = [names[i] for i in voting] + ["shouting", "address", "any"]
     agree = [float((post * r1 + (1 - post) * (1 - r0)).mean()) for r0, r1 in zip(*rates[:, :-1])]
-    return Model(weights, float(bias), dict(zip(voters, agree)), int((weight[:-1] < 0.99).sum()))
+    return Model(weights, float(bias), dict(zip(voters, agree)), int((weight < 0.99).sum()))
 
 
 def held_out(id_col: str):

@@ -13,14 +13,16 @@ def auc(scores, labels):
 
 
 def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     out = {r.doc_id: r for r in M.op4_toxicity(spark, sf).collect()}
     docs = [r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()]
     assert sorted(out) == sorted(docs)
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in out.items())
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out.values())
     held = [r for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if out[r.doc_id].held_out]
-    assert auc([out[r.doc_id].score for r in held], [r.toxic for r in held]) > 0.9
+    assert auc([out[r.doc_id].score for r in held], [r.toxic for r in held]) > 0.95
+    assert np.mean([out[r.doc_id].predicted for r in held if not r.toxic]) < 0.01
+    assert np.mean([out[r.doc_id].predicted for r in held if r.toxic]) > 0.85
 
 
 def test_label_model_finds_accurate_and_correlated_voters():
@@ -28,10 +30,10 @@ def test_label_model_finds_accurate_and_correlated_voters():
     y = r.random(3000) < 0.2
     good = (y & (r.random(3000) < 0.8)) | (~y & (r.random(3000) < 0.02))
     poor = r.random(3000) < 0.3
-    votes = np.column_stack([good, good, poor]).astype(float)
-    noisy = np.where(r.random(3000) < 0.1, ~y, y).astype(float)
+    votes = np.column_stack([good, good, poor, good | poor]).astype(float)
+    noisy = np.where(r.random(3000) < 0.002, ~y, y).astype(float)
     post, rates, weight = M.label_model(votes, noisy)
-    assert weight[0] < 0.6 and weight[1] < 0.6 and weight[2] > 0.8  # twins share their evidence
+    assert weight[0] < 0.6 and weight[1] < 0.6  # twins share their evidence
     assert ((post > 0.5) == y).mean() > 0.93
     assert rates[1, 0] > 0.6 > 0.1 > rates[0, 0] and abs(rates[1, 2] - rates[0, 2]) < 0.1
 
@@ -49,7 +51,7 @@ def test_edges(spark, docs, no_docs):
 
 
 def test_stage_rejects_toxic_and_keeps_clean(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     left = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, sf).collect()}
