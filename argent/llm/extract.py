@@ -217,7 +217,7 @@ def features(blocks: list[Block]) -> list[list[float]]:
 
 def variant(html: str, seed: int) -> str | None:
     """A training page: the named article gets its truth; other than variant 0
-    it may lose its name and gains clutter. None if no article is named."""
+    it may lose its name and gains lists, headings, quotes, tables and clutter. None if no article is named."""
     found = re.search(r"<(article|main)\b[^>]*>", html, re.I)
     if not found:
         return None
@@ -247,10 +247,24 @@ def variant(html: str, seed: int) -> str | None:
             inner = "".join(f"<p>{sentence()}</p>" for _ in range(r.randint(1, 4))) if r.random() < 0.6 else sentence()
         return f'<{tag}{named} data-truth="0">{inner}</{tag}>'
 
+    def content() -> str:
+        items = [sentence() for _ in range(r.randint(2, 6))]
+        return r.choice([
+            lambda: "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>",
+            lambda: "<ol>" + "".join(f"<li><p>{i}</p></li>" for i in items) + "</ol>",
+            lambda: f"<h2>{items[0][:60]}</h2>",
+            lambda: f"<h3>{items[0][:40]}</h3><div><p>{items[1]}</p></div>",
+            lambda: f"<blockquote><p>{items[0]}</p></blockquote>",
+            lambda: "<table>" + "".join(f"<tr><td>{i[:20]}</td><td>{i}</td></tr>" for i in items) + "</table>",
+            lambda: "<section>" + "".join(f"<p>{i}</p>" for i in items) + "</section>",
+            lambda: f'<p>{items[0]} <a href="/">{items[1][:20]}</a> {items[1]}</p>'])()
+
     kinds = [k for k in KINDS if k != "main"]
     tag, token = r.choice([(name, ""), ("div", r.choice(TOKENS["main"])), ("section", r.choice(TOKENS["main"])), ("main", ""), ("div", "")])
     named = f' class="{token}"' if token else ""
     parts = re.split(r"(?<=</p>)", inside)
+    for _ in range(r.randint(0, 4)):
+        parts.insert(r.randrange(1, len(parts) + 1), content())
     for _ in range(r.randint(0, 2)):
         parts.insert(r.randrange(len(parts) + 1), clutter(r.choice(["advert", "share", "notice", "side"])))
     head = "".join(clutter(r.choice(kinds)) for _ in range(r.randint(0, 3)))

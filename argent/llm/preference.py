@@ -127,11 +127,11 @@ r AS (
   SELECT t.conv_id, t.i, t.role, t.i < p.k AS prompt, '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS shown
   FROM t JOIN p ON t.conv_id = p.conv_id),
 o AS (
-  SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, prompt ORDER BY i) - length(shown) AS at FROM r),
+  SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, prompt ORDER BY i) - length(shown) AS place FROM r),
 g AS (
   SELECT conv_id, coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE prompt), '') AS prompt,
          coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE NOT prompt), '') AS chosen,
-         coalesce(string_agg(CAST(CAST(at + length(role) + 5 AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(at + length(shown) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY i)
+         coalesce(string_agg(CAST(CAST(place + length(role) + 5 AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(place + length(shown) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY i)
                   FILTER (WHERE NOT prompt AND role = 'assistant'), '') AS chosen_mask
   FROM o GROUP BY 1)
 SELECT g.conv_id, CAST(p.k AS INTEGER) AS prompt_turns, g.prompt, g.chosen, g.chosen_mask,

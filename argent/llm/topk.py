@@ -158,7 +158,7 @@ def search_block(k: int):
                 by_weight: dict[int, list] = {}
                 for j in range(int(size.max()).bit_length()):
                     dims = np.flatnonzero(size >> j & 1)
-                    for b in range(first, digits):
+                    for b in range(first, digits) if len(dims) else ():
                         by_weight.setdefault(j + b, []).append(both[sign[dims], dims, b])
                 sums = add_slices({w: np.concatenate(m) for w, m in by_weight.items()})
                 slack = int(size.sum()) * ((1 << first) - 1)
