@@ -4,8 +4,7 @@ Packages:
   functions  column expressions (safe casts, epoch ms, positional access, ...)
   operators  relational operators (keep-one, explode, unions, joins, filters)
   plans      table contracts, the Bronze -> Silver pipelines, the job, queries
-  sources    layered table storage and Bronze shapes from the test tables
-  streaming  empty: the original job is batch only
+  sources    layered table storage, reading by declared schema, Bronze shapes from the test tables
 """
 
 __version__ = "0.1.0"

@@ -1,4 +1,4 @@
-"""Deterministic keep-one-row-per-key.
+"""Deterministic keep-one-row-per-key.
 
 ``dropDuplicates([key])`` keeps an arbitrary row, so two runs can disagree.
 ``keep_one`` keeps the first row of each key under a total order: the
@@ -52,14 +52,3 @@ def keep_one(df: DataFrame, keys: Sequence[str] | str,
             .filter(F.col(_RANK) == 1)
             .drop(_RANK))
 
-
-def distinct_values(df: DataFrame, column: Column | str, alias: str | None = None,
-                    drop_nulls: bool = True) -> DataFrame:
-    """Distinct values of one column (O30), partially aggregated before the
-    shuffle so a frequent value costs one row per map task."""
-    col = F.col(column) if isinstance(column, str) else column
-    out = df.select(col.alias(alias) if alias else col)
-    name = out.columns[0]
-    if drop_nulls:
-        out = out.filter(F.col(name).isNotNull())
-    return out.distinct()

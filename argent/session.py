@@ -1,10 +1,9 @@
 """Spark session settings the library relies on.
 
-Only two settings change results: the session time zone (timestamp text is
-rendered in it) and nothing else -- every cast is a ``try_cast`` so the ANSI
-flag does not matter. The rest are throughput settings for local runs; on a
-cluster the deployment's own values win because ``getOrCreate`` keeps an
-existing session.
+Only one setting changes results: the session time zone (timestamp text is
+rendered in it); every cast is a ``try_cast``, so the ANSI flag does not matter.
+The rest are throughput settings, applied only where the deployment or the
+existing session sets nothing of its own.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ def one_col(spark, values, dtype="string"):
 
 def test_integer_rule(spark):
     values = ["12", " 7.9 ", "12.7", "-0.9", ".5", "1e3", "abc", "", "2147483648",
-              "-.25", ".", "+", "+5", "12.", None]
-    expect = [12, 7, 12, 0, 0, None, None, None, None, 0, None, None, 5, 12, None]
+              "-.25", ".", "+.", "+", "+5", "12.", "\t12", "\x0012\x7f", "12\u00a0", None]
+    expect = [12, 7, 12, 0, 0, None, None, None, None, 0, 0, 0, None, 5, 12, 12, 12, None, None]
     got = [r[0] for r in one_col(spark, values).select(C.text_to_integer("v")).collect()]
     assert got == expect
 

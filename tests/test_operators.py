@@ -94,11 +94,35 @@ def test_explode_outer_keeps_empty_and_null(spark):
     assert rows(got) == [(1, None), (2, None), (3, "a")]
 
 
-def test_lookup_join_shuffle_path_routes_null_keys_around_the_join(spark):
-    fact = spark.range(100).selectExpr("IF(id % 3 = 0, NULL, id % 7) AS k", "id AS v")
+def test_lookup_join_shuffle_path_reads_the_fact_once_and_spreads_null_keys(spark):
+    fact = spark.range(0, 4000, 1, 4).selectExpr("IF(id % 3 = 0, NULL, id % 7) AS k", "id AS v").distinct()
     dim = spark.range(7).selectExpr("id AS k", "CAST(id AS STRING) AS name")
     out = lookup_join(fact, dim, "k", "left", broadcast=False)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "isnull(" in plan and "isnotnull(" in plan, plan
-    assert out.count() == 100
-    assert out.filter("k IS NULL AND name IS NULL").count() == fact.filter("k IS NULL").count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Range (0, 4000") == 1, plan
+    assert out.columns == ["k", "v", "name"] and out.count() == 4000
+    nulls = out.filter("k IS NULL")
+    assert nulls.filter("name IS NULL").count() == fact.filter("k IS NULL").count()
+    from argent.operators.joins import NULL_SPREAD
+    spread = fact.filter("k IS NULL").selectExpr(f"pmod(xxhash64(k, v), {NULL_SPREAD}) AS s").distinct().count()
+    assert spread > 500
+
+
+def test_lookup_join_hot_key_is_split(spark):
+    """With thresholds a test size can reach, adaptive execution splits the
+    partition of the hot key."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 30000, 1, 8).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v", "repeat('x', 20) AS t")
+        dim = spark.range(0, 30000, 1, 4).selectExpr("id AS k", "CAST(id AS STRING) AS name")
+        out = lookup_join(fact, dim, "k", "left", broadcast=False)
+        assert len(out.collect()) == 30000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

@@ -19,7 +19,12 @@ def t(spark):
 
 def silver_tables(t):
     dre = t.dre_categories()
+    combined = P.combined_accounts(P.accounts_payable(t.payables(), RUN_TS), P.accounts_receivable(t.receivables(), RUN_TS),
+                                   P.categories(t.categories(), RUN_TS))
     return {
+        "combined_accounts": combined,
+        "dre_financial_categories": P.dre_financial_categories(
+            P.dre_combined_items(P.dre_items(dre, RUN_TS), P.dre_subitems(dre, RUN_TS)), RUN_TS),
         "users": P.users(t.users()),
         "spaces": P.spaces(t.spaces()),
         "time_entries": P.time_entries(t.time_entries()),
@@ -49,13 +54,18 @@ def test_bronze_shapes_match_declared_schemas(t):
 
 
 def test_silver_contracts(t):
-    for name, df in silver_tables(t).items():
+    from argent.plans import job as J
+    tables = silver_tables(t)
+    assert set(tables) == set(S.ALL) == set(J.SILVER_TABLES) and len(tables) == 16
+    for name, df in tables.items():
         conform(df, S.ALL[name])
 
 
 def test_keys_are_unique(t):
     for name, df in silver_tables(t).items():
         key = list(S.ALL[name].key)
+        if not key:
+            continue
         assert df.count() == df.select(*key).distinct().count(), name
 
 
@@ -63,7 +73,7 @@ def test_combined_accounts_columns(t):
     df = P.combined_accounts(P.accounts_payable(t.payables(), RUN_TS),
                              P.accounts_receivable(t.receivables(), RUN_TS),
                              P.categories(t.categories(), RUN_TS))
-    assert tuple(df.columns) == S.COMBINED_ACCOUNTS_COLUMNS
+    conform(df, S.COMBINED_ACCOUNTS)
     assert df.count() == df.select("tipo", "id").distinct().count()
 
 
@@ -205,9 +215,11 @@ def test_landing_keeps_malformed_records(spark, tmp_path):
     raw.mkdir()
     (raw / "part.json").write_text('{"id": "1", "username": "a"}\n{"id": 2, "username": \n')
     store = LayerStore(spark, str(tmp_path / "lake"))
-    got = store.land(str(raw), "Bronze", "users", B.USERS, corrupt_column="_corrupt")
-    out = sorted(((r.id, r.username, r._corrupt is not None) for r in got.collect()), key=repr)
+    got = store.land(str(raw), "Bronze", "users", B.USERS)          # kept unless told otherwise
+    out = sorted(((r.id, r.username, r._corrupt_record is not None) for r in got.collect()), key=repr)
     assert out == sorted([(None, None, True), ("1", "a", False)], key=repr)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.land(str(raw), "Bronze", "users", B.USERS, fail=True)
 
 
 def test_pipelines_repeat_under_other_partitionings(spark, t):
@@ -274,3 +286,124 @@ def test_job_command_line(spark, t, tmp_path):
     J.land_bronze(LayerStore(spark, root), {"users": t.users(), "spaces": t.spaces()})
     J.main(["--root", root, "--tables", "users,spaces"])
     assert LayerStore(spark, root).read("Silver", "users").count() == P.users(t.users()).count()
+
+
+# ------------------------------------------------------------ stored shapes
+
+def test_drifted_bronze_is_read_by_name(spark, t, tmp_path):
+    from argent.plans.queries import drifted
+    from argent.sources.layers import CatalogStore, LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    catalog = CatalogStore(spark)
+    for name, df in {"sales": t.sales(), "sales_details": t.sales_details(), "dre_categories": t.dre_categories()}.items():
+        store.write(drifted(df), "Bronze", name)
+        catalog.write(drifted(df), "Bronze", f"argent_test_{name}")
+        want = rows(df)
+        assert rows(store.read("Bronze", name, B.ALL[name])) == want, name
+        assert rows(catalog.read("Bronze", f"argent_test_{name}", B.ALL[name])) == want, name
+    plan = store.read("Bronze", "sales_details", B.SALES_DETAILS).select("venda.situacao.nome") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<venda:struct<situacao:struct<nome:string>>>" in plan, plan
+
+
+def test_drift_edges(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from argent.sources.layers import LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    want = T._parse_datatype_string("id int, u struct<a:string,n:int>, xs array<struct<k:bigint>>")
+    stored = spark.createDataFrame(
+        [("2.0", (7, "x", "A"), [(None, "4.9")]), ("x", None, None), (None, (None, None, None), [])],
+        "id string, u struct<n:bigint,extra:string,a:string>, xs array<struct<z:int,k:string>>")
+    store.write(stored, "Bronze", "t")
+    got = store.read("Bronze", "t", want)
+    assert got.schema.simpleString() == want.simpleString()
+    expect = spark.createDataFrame([(2, ("A", 7), [(4,)]), (None, None, None), (None, (None, None), [])], want)
+    assert rows(got) == rows(expect)
+    store.write(stored.selectExpr("id", "struct(u.n AS n) AS u", "xs"), "Bronze", "t2")
+    with pytest.raises(ValueError, match="u.a"):
+        store.read("Bronze", "t2", want)
+
+
+def test_failed_refresh_leaves_the_old_table(spark, tmp_path):
+    from argent.sources.layers import LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    store.write(spark.range(5), "Silver", "t", folder="f")
+    bad = spark.range(5).selectExpr("assert_true(id < 3) AS x", "id")
+    with pytest.raises(Exception):
+        store.write(bad.select("id", F.col("x").cast("string")), "Silver", "t", folder="f")
+    assert store.read("Silver", "t").count() == 5
+    store.write(spark.range(2), "Silver", "t", folder="f")
+    assert store.read("Silver", "t").count() == 2
+    assert [p.name for p in (tmp_path / "lake" / "Silver" / "f").iterdir() if ".old" in p.name] == []
+
+
+def test_job_checks_contracts_and_maps_names(spark, t, tmp_path):
+    from argent.plans import job as J
+    from argent.sources.layers import LayerStore
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    store.write(t.users(), "Raw", "usr")
+    names = {"bronze.users": {"layer": "Raw", "name": "usr"}, "users": {"layer": "Trusted", "name": "people_of", "folder": "f"}}
+    J.run(spark, store, RUN_TS, tables=["users"], names=names)
+    assert rows(store.read("Trusted", "people_of", folder="f")) == rows(P.users(t.users()))
+    with pytest.raises(ValueError, match="differs from contract"):
+        conform(spark.range(1), S.USERS)
+
+
+# ------------------------------------------------------------ whole tables
+
+def test_every_order_and_part_reaches_the_fixtures(spark, t):
+    orders = t.table("orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    pay, rec = t.payables().select("id").distinct(), t.receivables().select("id").distinct()
+    assert rows(pay.union(rec)) == rows(orders)
+    parts = t.table("part").select(F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("id"))
+    assert parts.exceptAll(t.categories().select("id").distinct()).count() == 0
+
+
+def test_sales_limits_both_sides_before_the_join(spark, t):
+    plan = P.sales(t.sales(), t.sales_details(), RUN_TS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Partial, ") >= 2 or plan.count("WindowGroupLimit") >= 4, plan
+    join = plan.index("Join")
+    assert "WindowGroupLimit" not in plan[:join] and plan.count("Window ") == 2, plan
+
+
+def test_long_parent_names_refuse_the_broadcast(spark):
+    """A small categories table whose hierarchy is large: the parent's name is
+    repeated on every child, so the hierarchy is what must be measured."""
+    cats = spark.range(2000).selectExpr(
+        "concat('C', id) AS id", "'n' AS nome", "1 AS versao", "'P' AS categoria_pai", "'t' AS tipo",
+        "'e' AS entrada_dre", "true AS considera_custo_dre", "'ts' AS _loaded_at").unionByName(
+        spark.range(1).selectExpr("'P' AS id", "repeat('x', 50000) AS nome", "1 AS versao", "CAST(NULL AS STRING) AS categoria_pai",
+                                  "'g' AS tipo", "'e' AS entrada_dre", "true AS considera_custo_dre", "'ts' AS _loaded_at"))
+    pay = spark.createDataFrame([], "id string, descricao string, data_vencimento string, status string, total float, nao_pago float,"
+                                " pago float, data_criacao string, data_alteracao string, categoria_principal_id string,"
+                                " categoria_principal_nome string, fornecedor_id string, fornecedor_nome string, _loaded_at string")
+    rec = pay.withColumnRenamed("fornecedor_id", "cliente_id").withColumnRenamed("fornecedor_nome", "cliente_nome")
+    plan = P.combined_accounts(pay, rec, cats)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1, plan  # the parents' own side only
+
+
+# ------------------------------------------------------------ session
+
+def test_session_settings_of_the_deployment_win(spark):
+    from argent.session import get_session
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
+    try:
+        assert get_session().conf.get("spark.sql.autoBroadcastJoinThreshold") == "20MB"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+@pytest.mark.parametrize("master,fine", [("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False)])
+def test_only_one_machine_gets_a_folder_of_its_own(master, fine):
+    from types import SimpleNamespace
+
+    from argent.session import shared_dir
+    made = []
+    sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[0] if made else None, setCheckpointDir=made.append)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    if fine:
+        assert shared_dir(fake) == made[0]
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(fake)
