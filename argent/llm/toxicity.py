@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from argent.llm.common import ship, table
 
 #: Bounds of the labelled sample that the model is fitted on.
-SAMPLE_ROWS = 8000
-SAMPLE_BYTES = 48 * 1024 * 1024
+SAMPLE_ROWS = 6000
+SAMPLE_BYTES = 24 * 1024 * 1024
 #: Bounds of the mined features and of the voters taken from them.
 FEATURES = 3000
 VOTERS = 400
@@ -77,6 +77,20 @@ def words_of(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+class _Known(dict):
+    """Word -> its features among the wanted ones."""
+
+    def __init__(self, wanted):
+        super().__init__()
+        self.wanted = wanted
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = found = tuple(f for f in features(word) if f in self.wanted)
+        return found
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of the features, the intercept and what was learned on the way."""
@@ -133,36 +147,34 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         return STATED
-    bags = [words_of(t) for t in texts]
-    known: dict[str, list[str]] = {}
-    seen, toxic = Counter(), Counter()
-    for bag, label in zip(bags, labels):
-        found = set()
-        for w in bag:
-            if w not in known:
-                known[w] = features(w)
-            found.update(known[w])
-        seen.update(found)
+    # texts are cut anew in each pass: their words together would fill the driver
+    toxic = Counter()
+    for t, label in zip(texts, labels):
         if label:
-            toxic.update(found)
+            toxic.update({f for w in words_of(t) for f in features(w)})
+    toxic = Counter({f: k for f, k in toxic.items() if k >= LEAST_TEXTS or f[1:] in LEXICON})
+    known = _Known(toxic.keys() | {"=" + w for w in LEXICON})
+    seen = Counter()
+    for t in texts:
+        seen.update({f for w in words_of(t) for f in known[w]})
     p, n = y.sum(), len(y) - y.sum()
     scored = []
     for f, k in seen.items():
         t = toxic[f]
-        if k >= LEAST_TEXTS:
+        if t >= LEAST_TEXTS:
             lift = np.log((t + 0.5) / (p + 1)) - np.log((k - t + 0.5) / (n + 1))
-            if lift > 1.5 and t >= LEAST_TEXTS:
+            if lift > 1.5:
                 scored.append((lift * np.sqrt(t), f))
     stated = {"=" + w for w in LEXICON}
     mined = [f for _, f in sorted(scored, reverse=True)[:FEATURES]]
     names = sorted(stated.union(mined))
     index = {f: i for i, f in enumerate(names)}
+    known = _Known(index.keys())
     rows, cols = [], []
-    for r, bag in enumerate(bags):
-        for w in bag:
+    for r, t in enumerate(texts):
+        for w in sorted(words_of(t)):
             for f in known[w]:
-                if f in index:
-                    rows.append(r), cols.append(index[f])
+                rows.append(r), cols.append(index[f])
     rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
     precise = [f for f in mined if toxic[f] >= PRECISION * seen[f]]
     # a stated word that the sample often has in clean texts doesn't vote
