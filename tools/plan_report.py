@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query (markdown table).
+"""Physical-plan summary of the library's own queries (markdown table).
 
     python tools/plan_report.py [sf_dir] > plans.md
 
@@ -17,7 +17,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from argent.plans.queries import REGISTRY  # noqa: E402
 from argent.session import get_session  # noqa: E402
 
 
@@ -48,7 +48,7 @@ def main(argv):
     print("| query | shuffles | broadcasts | partial keep-one limits | SMJ | BHJ | scans | "
           "pushed filters | python | cross |")
     print("|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         s = summarize(plan_text(fn(spark, sf_dir)))
         pushed = "; ".join(p[:60] for p in s["pushed"]) or "-"
         print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['partial_limits']} | "
