@@ -237,9 +237,14 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
         .groupBy("node").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))
     full = landed(wanted.join(sets, "node").select("node", "copies", "cells", "size", "grams"), "grams")
     placed = full.select("node", "size", F.explode("cells").alias("cell"))
-    blocks = placed.groupBy("cell").agg(F.greatest(
+    # only cells beyond one block are looked up: at most one for each full block
+    blocks = landed(placed.groupBy("cell").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    dealt = placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
+        .filter("blocks > 1"), "blocks")
+    if fits_broadcast(blocks):
+        blocks = F.broadcast(blocks)
+    dealt = placed.join(blocks, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .select("node", "cell", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
         .select("node", "cell", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     units = dealt.join(full, "node").select("cell", "i", "j", "node", "copies", "cells", "grams", "block") \
