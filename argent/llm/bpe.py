@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from argent.llm.common import ship, table
 
-#: Distinct pretokens a Python worker remembers before it starts anew.
-REMEMBERED = 700_000
+#: Distinct pretokens a task remembers before it starts anew.
+REMEMBERED = 400_000
 #: Characters of text cut into pretokens before the new ones are encoded.
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 12_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -199,19 +199,15 @@ class Encoder(dict):
         self.new = []
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_VOCABULARIES: dict[int, Vocabulary] = {}
 
 
-def _encoder(text: str, pattern: str) -> Encoder:
-    """This worker's encoder: what earlier tasks met need not be encoded again.
-    It starts anew beyond ``REMEMBERED`` pretokens, so its memory is bounded."""
+def _vocabulary(text: str, pattern: str) -> Vocabulary:
+    """The parsed vocabulary, kept by the worker: its size is fixed."""
     key = hash((text, pattern))
-    known = _ENCODERS.get(key)
-    if known is None:
-        _ENCODERS[key] = Encoder(Vocabulary(text, pattern))
-    elif len(known) > REMEMBERED:
-        _ENCODERS[key] = Encoder(known.vocabulary)
-    return _ENCODERS[key]
+    if key not in _VOCABULARIES:
+        _VOCABULARIES[key] = Vocabulary(text, pattern)
+    return _VOCABULARIES[key]
 
 
 def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
@@ -236,10 +232,13 @@ def tokenized(df: DataFrame, text: str, keep: list[str], vocabulary_json: str, p
     shared = df.sparkSession.sparkContext.broadcast(vocabulary_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what a task has met goes with it: a worker runs tasks of many stages
+        encoder = Encoder(_vocabulary(shared.value, pattern))
         for batch in batches:
             row = 0
             for texts in _chunks(batch.column(0).to_pylist()):
-                encoder = _encoder(shared.value, pattern)
+                if len(encoder) > REMEMBERED:
+                    encoder = Encoder(encoder.vocabulary)
                 cuts = [encoder.cut(t) for t in texts]
                 encoder.settle()
                 ids = [",".join([encoder.ids[k] for k in c]) for c in cuts]

@@ -46,8 +46,8 @@ RECALL = 0.999
 #: Bounds of a block: nodes, and n-grams of all its nodes.
 BLOCK_NODES = 512
 BLOCK_GRAMS = 1_000_000
-#: Words whose hash a Python worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Words whose hash a task remembers before it starts anew.
+REMEMBERED = 400_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,22 +63,21 @@ def prefix_length(trees: int, longest: int, threshold: float, recall: float) ->
 
 
 class WordHashes(dict):
+    """Word -> its hash; kept by a task, never by a worker."""
+
     def __missing__(self, word: str) -> int:
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
 
 
-_WORDS = WordHashes()
-
-
-def grams(text: str, n: int) -> np.ndarray:
+def grams(text: str, n: int, known: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word n-grams."""
-    if len(_WORDS) > REMEMBERED:
-        _WORDS.clear()
+    if len(known) > REMEMBERED:
+        known.clear()
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.array([_WORDS[w] for w in words], np.uint64)
+    h = np.array([known[w] for w in words], np.uint64)
     width = min(n, len(h))
     out = np.zeros(len(h) - width + 1, np.uint64)
     for i in range(width):
@@ -114,10 +113,11 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, tree
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _permutations(trees * depth)
+        known = WordHashes()
         for batch in batches:
             keys = []
             for t in batch.column(2):
-                g = grams(t.as_py(), words)
+                g = grams(t.as_py(), words, known)
                 keys.append(trie_keys(g, a, b, trees) if len(g) else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))],
@@ -227,8 +227,9 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     texts = texts.join(keys, "node").filter(F.col("_id").eqNullSafe(F.col("_first"))).select("node", "text")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
-            sets = [grams(t.as_py(), words) for t in batch.column(1)]
+            sets = [grams(t.as_py(), words, known) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "size", "grams"])

@@ -63,8 +63,8 @@ LEXICON = ("bastard", "clown", "coward", "creep", "cretin", "disgusting", "dumb"
 _WORD = re.compile(r"\w+")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b[^.?\n]*!")
 _ADDRESS = re.compile(r"\byou(?:'re| are)?\s+(?:an?\s+)?(?:" + "|".join(LEXICON) + r")\b", re.I)
-#: Words whose score a Python worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Words whose score a task remembers before it starts anew.
+REMEMBERED = 400_000
 
 
 def features(word: str) -> list[str]:
@@ -245,9 +245,6 @@ class _Scores(dict):
         return s
 
 
-_MODELS: dict[int, _Scores] = {}
-
-
 def _score(text: str | None, model: Model, words: _Scores) -> float:
     z = model.bias + (sum([words[w] for w in sorted(words_of(text)) if words[w]]) if text else 0.0)
     return 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
@@ -261,7 +258,7 @@ def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str], only_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        words = _MODELS.setdefault(hash((m.bias, len(m.weights), sum(m.weights.values()))), _Scores(m.weights))
+        words = _Scores(m.weights)  # goes with the task: a worker runs tasks of many stages
         for batch in batches:
             rest = batch.select(range(1, batch.num_columns))
             scores = pa.array([_score(t.as_py(), m, words) for t in batch.column(0)], pa.float64())
