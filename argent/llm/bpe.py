@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from argent.llm.common import ship, table
 
 #: Distinct pretokens a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Characters of text cut into pretokens before the new ones are encoded.
 CHUNK_CHARS = 12_000_000
 

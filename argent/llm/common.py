@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from argent.session import run_folder
 
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once per application
-    (they need not share the driver's folders or its import path)."""
+    """Make the Python workers ready: this package's code, sent once per
+    application (they need not share the driver's folders or its import path),
+    and, unless the session sets a size itself, small Arrow batches, since a
+    row here is a whole text."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     package = Path(__file__).resolve().parent.parent
     if app in _SHIPPED or not package.is_dir():

@@ -47,7 +47,7 @@ RECALL = 0.999
 BLOCK_NODES = 512
 BLOCK_GRAMS = 1_000_000
 #: Words whose hash a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

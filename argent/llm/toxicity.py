@@ -64,7 +64,7 @@ _WORD = re.compile(r"\w+")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b[^.?\n]*!")
 _ADDRESS = re.compile(r"\byou(?:'re| are)?\s+(?:an?\s+)?(?:" + "|".join(LEXICON) + r")\b", re.I)
 #: Words whose score a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def features(word: str) -> list[str]:
