@@ -64,10 +64,11 @@ def blocked(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str,
     ``since`` of the most specific entry that was active on its day."""
     seen = landed(captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(day_col).alias("day"))
                   .withColumn("row", F.monotonically_increasing_id()), "captures")
-    span = seen.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    valid = intervals(entries).join(F.broadcast(span), how="inner", on=F.col("since") <= F.col("b"))
-    cut = valid.withColumn("last", F.least(F.coalesce(F.date_sub("until", 1), F.col("b")), F.col("b"))) \
-        .withColumn("first", F.greatest("since", "a")).filter("first <= last") \
+    span = seen.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()  # two dates
+    earliest, latest = (F.lit(d).cast("date") for d in (span["a"], span["b"]))
+    cut = intervals(entries).filter(F.col("since") <= latest) \
+        .withColumn("last", F.least(F.coalesce(F.date_sub("until", 1), latest), latest)) \
+        .withColumn("first", F.greatest(F.col("since"), earliest)).filter("first <= last") \
         .select("pattern", "since", "until", F.explode(F.sequence(bucket(F.col("first")), bucket(F.col("last")))).alias("bucket"))
     cut = landed(cut, "intervals")
     keyed = seen.select("row", "day", bucket(F.col("day")).alias("bucket"), F.posexplode(patterns(F.col("url"))).alias("level", "pattern")) \

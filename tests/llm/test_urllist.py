@@ -31,4 +31,5 @@ def test_shuffle_path_gives_the_same(spark, sf, monkeypatch):
     monkeypatch.setattr(M, "fits_broadcast", lambda df: False)
     df = M.op7_url_filters(spark, sf)
     assert sorted(map(repr, df.collect())) == want
-    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
