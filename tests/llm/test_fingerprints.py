@@ -64,6 +64,43 @@ def test_equal_texts_and_likeness(spark, sf):
     assert sum(errors) / len(errors) < 0.1
 
 
+def test_repeated_clauses_count_once_each(spark):
+    def clauses(t):
+        return collections.Counter(c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line))
+
+    pairs = []
+    for k in range(60):  # each clause 6 to 35 times, half of the text kept
+        kept, old, new = ([f"{w} {k} {i}." for i in range(12)] for w in ("kept", "old", "new"))
+        times = 6 + k // 2
+        pairs.append((k, " ".join((kept + old) * times), " ".join((kept + new) * times)))
+    df = spark.createDataFrame(pairs, "k int, a string, b string")
+    fps = M.fingerprint(df, ["k"], "a").withColumnRenamed("fingerprint", "x") \
+        .join(M.fingerprint(df, ["k"], "b").withColumnRenamed("fingerprint", "y"), "k")
+    got = {r.k: r.s for r in fps.select("k", M.likeness(F.col("x"), F.col("y")).alias("s")).collect()}
+    for k, a, b in pairs:
+        x, y = clauses(a), clauses(b)
+        assert abs(got[k] - sum((x & y).values()) / sum((x | y).values())) < 0.25
+
+
+def test_documents_with_repeated_clauses(spark):
+    sf = "/root/testdata/sf0.1"
+
+    def clauses(t):
+        return collections.Counter(c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line))
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = {r.doc_id: r.near_edited for r in M.op1_fingerprints(spark, sf).collect()}
+    ids = sorted(texts, reverse=True)
+    checked, errors = 0, []
+    for i, k in zip(ids, ids[1:]):
+        t, h = texts[i], len(texts[i]) // 2
+        a, b = clauses(t), clauses(t[:len(t) - h] + texts[k][:h])
+        if max(a.values()) > 2 or max(b.values()) > 2:
+            checked += 1
+            errors.append(abs(out[i] - sum((a & b).values()) / sum((a | b).values())))
+    assert checked > 100 and max(errors) < 0.3
+
+
 def test_native_plan(spark, sf):
     plan = M.op1_fingerprints(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "SinglePartition" not in plan
