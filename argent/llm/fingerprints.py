@@ -15,7 +15,8 @@ A paragraph's vector has three blocks:
   The difference of two fingerprints is then Cauchy in every lane, its scale
   the sum of the absolute differences of the clause counts, however often a
   clause repeats. Its estimate gives :func:`likeness`; the standard error of
-  the scale is 1/8 of it at 128 lanes;
+  the scale is 1/8 of it at 128 lanes. Lanes that wrap stay a small share up
+  to some million clauses of difference; tested at 240,000;
 * one lane modulo 2^32 that counts clauses.
 
 Only built-in expressions are used. Defined results: a NULL text counts as the
