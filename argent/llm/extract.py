@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 
 from argent.llm.common import landed, ship, table
 
+#: The element that names an article.
+NAMED = r"<(article|main)\b[^>]*>"
 #: Pages that the trees are trained on, at most, and variants made of each.
 TRAIN_PAGES = 300
 VARIANTS = 3
@@ -218,7 +220,7 @@ def features(blocks: list[Block]) -> list[list[float]]:
 def variant(html: str, seed: int) -> str | None:
     """A training page: the named article gets its truth; other than variant 0
     it may lose its name and gains lists, headings, quotes, tables and clutter. None if no article is named."""
-    found = re.search(r"<(article|main)\b[^>]*>", html, re.I)
+    found = re.search(NAMED, html, re.I)
     if not found:
         return None
     r = random.Random(seed)
@@ -338,14 +340,19 @@ def _arrays(tree) -> tuple:
 
 
 def trained(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Trees | None:
-    """Trees fitted on variants of a sample drawn by hash; None without any
-    page that names its article."""
+    """Trees fitted on variants of a sample drawn by hash from the pages that
+    name their article; None if the whole table has none."""
     ship(pages.sparkSession)
-    hashed = pages.select(F.xxhash64(id_col, F.octet_length(html_col)).alias("h"), F.col(html_col).alias("html"))
+    html = F.col(html_col)
+    # as variant() finds it: the first such element, closed after it
+    name = F.lower(F.regexp_extract(html, f"(?i){NAMED}", 1))
+    rest = F.regexp_extract(html, f"(?is){NAMED}(.*)", 2)
+    hashed = pages.filter((name != "") & F.contains(F.lower(rest), F.concat(F.lit("</"), name))) \
+        .select(F.xxhash64(id_col, F.octet_length(html_col)).alias("h"), html.alias("html"))
     last = hashed.select("h").orderBy("h").limit(TRAIN_PAGES).agg(F.max("h").alias("h")).first()["h"]
     if last is None:
         return None
-    picked = hashed.filter((F.col("h") <= last) & F.col("html").isNotNull()).select("h", "html")
+    picked = hashed.filter(F.col("h") <= last).select("h", "html")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

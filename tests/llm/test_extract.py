@@ -45,6 +45,15 @@ def test_no_page_to_train_on(spark):
     assert M.extracted(df.limit(0), ["page_id"], None).count() == 0
 
 
+def test_rare_named_articles_train_the_trees(spark, sf):
+    named = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").limit(8)
+    plain = spark.range(20_000).selectExpr(
+        "id + 1000000 as page_id", "concat('<body><article><div><p>Words of page ', id, '.</p></div></body>') as html")
+    assert M.variant(plain.first().html, 0) is None  # never closed
+    assert M.trained(plain.union(named)) is not None
+    assert M.trained(plain) is None
+
+
 def test_choices_never_contradict():
     import numpy as np
 
