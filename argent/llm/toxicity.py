@@ -210,24 +210,37 @@ def held_out(id_col: str):
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, list]:
-    """Texts and labels of the bounded sample. Ids are drawn from the labels
-    table by hash; only their texts leave the documents."""
-    drawn = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & ~held_out(id_col)) \
-        .groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("_toxic")) \
-        .orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS)
-    have = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")) \
-        .join(F.broadcast(drawn), "_id").withColumn("_h", F.xxhash64("_id"))
-    spent, until = 0, None
-    sizes = have.select("_h", "_id", F.octet_length("_text").alias("_b")).orderBy("_h", "_id").limit(SAMPLE_ROWS).collect()
-    for r in sizes:
-        spent += r["_b"]
-        if spent > SAMPLE_BYTES:
+    """Texts and labels of the bounded sample. Labelled rows are drawn in hash
+    order; a text that does not fit is left out and the draw goes on, until the
+    rows are enough or nothing that fits is left (or less than 1/64 of the
+    bytes). Only the chosen texts leave the documents."""
+    spark = docs.sparkSession
+    marked = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & ~held_out(id_col)) \
+        .groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("_toxic"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    have = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_d"), text.alias("_text"))
+    place = F.struct(F.xxhash64("_id").alias("_h"), "_id", "_d")
+    sized = have.select("_id", "_d", F.octet_length("_text").alias("_b")).join(marked, "_id").withColumn("_at", place)
+    chosen, spent, after = [], 0, None
+    while len(chosen) < SAMPLE_ROWS and SAMPLE_BYTES - spent >= SAMPLE_BYTES // 64:
+        left = sized.filter(F.col("_b") <= SAMPLE_BYTES - spent)
+        if after is not None:
+            left = left.filter(F.col("_at") > F.struct(*[F.lit(x) for x in after]))
+        want = SAMPLE_ROWS - len(chosen)
+        drawn = left.orderBy("_at").limit(want).collect()
+        for r in drawn:
+            if spent + r["_b"] <= SAMPLE_BYTES:
+                chosen.append((r["_id"], r["_d"], r["_toxic"]))
+                spent += r["_b"]
+        if len(drawn) < want:
             break
-        until = r["_h"]
-    if until is None:
+        after = tuple(drawn[-1]["_at"])
+    if not chosen:
         return [], []
-    got = have.filter(F.col("_h") <= until).select("_h", "_id", "_text", "_toxic").limit(SAMPLE_ROWS).collect()
-    got.sort(key=lambda r: (r["_h"], r["_id"], r["_text"]))
+    picked = spark.createDataFrame(sorted(set(chosen)), sized.select("_id", "_d", "_toxic").schema)
+    got = have.join(F.broadcast(picked), ["_id", "_d"]).dropDuplicates(["_id", "_d"]) \
+        .select(place.alias("_at"), "_text", "_toxic").collect()
+    got.sort(key=lambda r: tuple(r["_at"]))
     return [r["_text"] for r in got], [int(r["_toxic"]) for r in got]
 
 

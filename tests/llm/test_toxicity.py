@@ -58,3 +58,17 @@ def test_stage_rejects_toxic_and_keeps_clean(spark):
     toxic, clean = ([i for i, y in labels.items() if y == v] for v in (1, 0))
     assert sum(i in left for i in clean) / len(clean) > 0.98
     assert sum(i in left for i in toxic) / len(toxic) < 0.2
+
+
+def test_sample_goes_on_after_a_text_that_does_not_fit(spark, monkeypatch):
+    monkeypatch.setattr(M, "SAMPLE_ROWS", 50)
+    monkeypatch.setattr(M, "SAMPLE_BYTES", 6400)
+    ids = spark.range(200).selectExpr("id as doc_id", "xxhash64(id) as h").filter(~M.held_out("doc_id")).orderBy("h").collect()
+    order = [r.doc_id for r in ids]
+    for big in (1, 4, 60):  # so many texts at the head of the hash order are over the budget
+        sizes = {i: 7000 if k < big else 100 for k, i in enumerate(order)}
+        docs = spark.createDataFrame([(i, str(i).ljust(n, "x")) for i, n in sizes.items()], "doc_id long, text string")
+        labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+        texts, y = M.sample(docs, labels)
+        assert [int(t.rstrip("x")) for t in texts] == order[big:big + 50]
+        assert y == [i % 2 for i in order[big:big + 50]]
