@@ -1,13 +1,14 @@
-"""Near duplicates by n-gram Jaccard similarity: a MinHash LSH forest, then
-exact verification.
+"""Near duplicates by n-gram Jaccard similarity: MinHash LSH in bands of a
+fixed depth (in place of an LSH forest), then exact verification.
 
 1. Equal texts are one *node* (MD5 of the text); only nodes are compared.
 2. A node's set of word n-grams (lower-cased words, runs of non-white-space,
    five to a gram; a shorter text is one gram) is MinHashed. Each of ``TREES``
-   prefix tries sorts the nodes by its own sequence of minimum hashes. Two
-   nodes that share a prefix in some trie are candidates. The matched prefix
-   starts at ``LONGEST`` values and is shortened until a pair at exactly the
-   threshold is found with at least the target recall (:func:`prefix_length`).
+   bands (called tries here) has its own sequence of minimum hashes, all of one
+   fixed depth; no trie is sorted and no longer prefix is matched. Two nodes
+   that share a whole sequence in some band are candidates. The depth follows
+   from the constants alone: the longest, up to ``LONGEST``, that finds a pair at
+   exactly the threshold with the target recall (:func:`prefix_length`).
 3. The nodes that share a prefix form a run, named after its smallest node.
    Runs of different tries with one name are united to a *cell*, so a group
    of near copies is compared in a few cells, not once a trie. A large cell is
