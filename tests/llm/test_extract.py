@@ -1,6 +1,8 @@
 import re
 from html import unescape
 
+from pyspark.sql import functions as F
+
 from argent.llm import extract as M
 
 
@@ -46,7 +48,8 @@ def test_no_page_to_train_on(spark):
 
 
 def test_rare_named_articles_train_the_trees(spark, sf):
-    named = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").limit(8)
+    named = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html") \
+        .orderBy(F.xxhash64("page_id", F.octet_length("html")).desc()).limit(8)
     plain = spark.range(20_000).selectExpr(
         "id + 1000000 as page_id", "concat('<body><article><div><p>Words of page ', id, '.</p></div></body>') as html")
     assert M.variant(plain.first().html, 0) is None  # never closed
