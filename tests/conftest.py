@@ -9,9 +9,6 @@ sys.path.insert(0, ROOT)
 
 from argent.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="argent-warehouse-")
@@ -20,9 +17,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, order_by=None):
-    """Collected rows as plain tuples, sorted for order-free comparison."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=repr)

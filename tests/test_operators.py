@@ -10,7 +10,7 @@ from argent.operators import (
     rows_referenced_by,
     union_by_name,
 )
-from conftest import rows
+from engine_fixtures import rows
 
 
 def test_keep_one_total_order_and_null_key(spark):

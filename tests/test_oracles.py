@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from argent.plans.oracles import ORACLES
 from argent.plans.queries import REGISTRY
-from conftest import SF_SMALL
+from engine_fixtures import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 

@@ -9,7 +9,7 @@ from argent.plans import pipelines as P
 from argent.plans import silver as S
 from argent.plans.contracts import conform
 from argent.sources.driver_shapes import RUN_TS, DriverTables
-from conftest import SF_SMALL, rows
+from engine_fixtures import SF_SMALL, rows
 
 
 @pytest.fixture(scope="module")
