@@ -83,7 +83,8 @@ class Lattice:
         have = {p for p in pieces if isinstance(p, int)}
         pieces += [b for b in range(256) if b not in have]  # any letter can be written
         self.size = len(pieces)
-        self.known = {p for p in pieces if isinstance(p, str) and len(p) == 1} | {MARK}
+        self.known = np.zeros(_BYTE, bool)  # code points that are pieces
+        self.known[[ord(p) for p in pieces if isinstance(p, str) and len(p) == 1]] = True
         if MARK not in pieces:
             pieces.append(MARK)
             self.size += 1
@@ -106,7 +107,7 @@ class Lattice:
         """The word's symbols, cut into runs of at most SYMBOLS."""
         out = [ord(MARK)]
         for c in word:
-            out.extend([ord(c)] if c in self.known else [_BYTE + b for b in c.encode("utf-8", "replace")])
+            out.extend([ord(c)] if self.known[ord(c)] else [_BYTE + b for b in c.encode("utf-8", "replace")])
         return [out[k:k + SYMBOLS] for k in range(0, len(out), SYMBOLS)]
 
     def edges(self, codes: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -126,31 +127,48 @@ class Lattice:
                     out.append((i, j, rows[hit], self.order[at[hit]]))
         return out
 
-    def grouped(self, parts: list[list[int]], languages: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places, symbols) of the parts of one length, some thousands at a time."""
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    def grouped(self, words: list[str], languages: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(words, symbols) of words of one length, some thousands at a time; a
+        word that is cut comes once per run, never twice in one group."""
         most = max(64, 2_000_000 // ((SYMBOLS + 1) * max(1, languages)))
-        for n in np.unique(lengths).tolist():
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        rest = np.flatnonzero(lengths >= SYMBOLS).tolist()
+        for n in np.unique(lengths[lengths < SYMBOLS]).tolist():
             places = np.flatnonzero(lengths == n)
             for k in range(0, len(places), most):
                 some = places[k:k + most]
-                yield some, np.array([parts[p] for p in some.tolist()], _U)
-
-    def log_probability(self, parts: list[list[int]], p: np.ndarray) -> np.ndarray:
-        """Log of each part's probability (rows) per language (columns of ``p``, pieces x languages)."""
-        out = np.zeros((len(parts), p.shape[1]))
-        for places, codes in self.grouped(parts, p.shape[1]):
+                text = "".join([words[i] for i in some.tolist()])
+                codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(some), n)
+                plain = self.known[codes].all(axis=1)
+                rest += some[~plain].tolist()
+                if plain.any():
+                    marked = np.full((int(plain.sum()), n + 1), ord(MARK), _U)
+                    marked[:, 1:] = codes[plain]
+                    yield some[plain], marked
+        cut: dict[tuple[int, int], list[tuple[int, list[int]]]] = {}
+        for i in rest:
+            for k, run in enumerate(self.symbols(words[i])):
+                cut.setdefault((k, len(run)), []).append((i, run))
+        for runs in cut.values():
+            for k in range(0, len(runs), most):
+                some = runs[k:k + most]
+                yield np.array([i for i, _ in some]), np.array([run for _, run in some], _U)
+
+    def log_probability(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Log of each word's probability (rows) per language (columns of ``p``, pieces x languages)."""
+        out = np.zeros((len(words), p.shape[1]))
+        for places, codes in self.grouped(words, p.shape[1]):
             forward = np.zeros((codes.shape[1] + 1, len(codes), p.shape[1]))
             forward[0] = 1
             for i, j, rows, pieces in self.edges(codes):  # by ascending begin: forward[i] is complete
                 forward[j, rows] += forward[i, rows] * p[pieces]
-            out[places] = np.log(forward[-1])
+            out[places] += np.log(forward[-1])
         return out
 
-    def expected(self, parts: list[list[int]], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Expected count of every piece in ``parts``, taken ``counts`` times each."""
+    def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Expected count of every piece in ``words``, taken ``counts`` times each."""
         out = np.zeros(self.size)
-        for places, codes in self.grouped(parts, 1):
+        for places, codes in self.grouped(words, 1):
             n = codes.shape[1]
             edges = self.edges(codes)
             forward, backward = np.zeros((n + 1, len(codes))), np.zeros((n + 1, len(codes)))
@@ -177,7 +195,8 @@ def _lattice(pieces: list[str | int]) -> Lattice:
 
 
 def words_of(token: str) -> list[str]:
-    return LETTERS.findall(token.lower())
+    low = token.lower()
+    return [low] if low.isalpha() else LETTERS.findall(low)
 
 
 # ------------------------------------------------------------- training
@@ -245,12 +264,8 @@ def train(df: DataFrame, text: str, lang: str, pieces: list[str | int], rounds:
                 langs = np.array([column[x] for x in batch.column(0).to_pylist()], np.int64)
                 words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(np.float64)
                 for k in np.unique(langs).tolist():
-                    parts, times = [], []
-                    for row in np.flatnonzero(langs == k).tolist():
-                        cut = lattice.symbols(words[row])
-                        parts += cut
-                        times += [n[row]] * len(cut)
-                    got = lattice.expected(parts, np.array(times), now[:, k].astype(np.float64))
+                    rows = np.flatnonzero(langs == k)
+                    got = lattice.expected([words[r] for r in rows.tolist()], n[rows], now[:, k].astype(np.float64))
                     sums[k] = sums[k] + got if k in sums else got
             for k, total in sums.items():
                 units = np.rint(total * UNIT).astype(np.int64)
@@ -289,18 +304,15 @@ class _Tokens(dict):
         """Score the tokens that are new since the last call, each word once."""
         number: dict[str, int] = {}
         words = [[number.setdefault(w, len(number)) for w in words_of(t)] for t in self.new]
-        parts, owner = [], []
-        for word, k in number.items():
-            cut = self.lattice.symbols(word)
-            parts += cut
-            owner += [k] * len(cut)
-        of_word = np.zeros((len(number), self.p.shape[1]))
-        np.add.at(of_word, owner, self.lattice.log_probability(parts, self.p)) if parts else None
-        fresh = np.zeros((len(self.new), self.p.shape[1]))
-        flat = [w for ws in words for w in ws]
-        np.add.at(fresh, [t for t, ws in enumerate(words) for _ in ws], of_word[flat]) if flat else None
+        of_word = self.lattice.log_probability(list(number), self.p)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        spelled = sizes > 0
+        fresh = np.zeros((len(words), self.p.shape[1]))
+        if spelled.any():
+            starts = (np.cumsum(sizes) - sizes)[spelled]
+            fresh[spelled] = np.add.reduceat(of_word[[w for ws in words for w in ws]], starts)
         self.score = np.concatenate((self.score, fresh))
-        self.spelled = np.concatenate((self.spelled, np.array([bool(ws) for ws in words], bool)))
+        self.spelled = np.concatenate((self.spelled, spelled))
         self.new = []
 
 
@@ -318,7 +330,7 @@ def identified(df: DataFrame, text: str, keep: list[str], model: Model, pieces:
         for batch in batches:
             if len(tokens) > REMEMBERED:
                 tokens = _Tokens(lattice, p)
-            cuts = [np.array([tokens[t] for t in (x.as_py() or "").split()], np.int64) for x in batch.column(0)]
+            cuts = [np.fromiter(map(tokens.__getitem__, (x.as_py() or "").split()), np.int64) for x in batch.column(0)]
             tokens.settle()
             best, scores = [], []
             for numbers in cuts:
