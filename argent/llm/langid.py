@@ -52,6 +52,8 @@ FLOOR = 1e-4
 ROUNDS = 3
 #: Different tokens that a task remembers before it starts anew.
 REMEMBERED = 300_000
+#: Words of a language that go through the passes together.
+TOGETHER = 50_000
 #: Expected counts are added up as whole multiples of 1 / UNIT, so that sums don't depend on their order.
 UNIT = 1024
 UNDEFINED = "und"
@@ -178,8 +180,8 @@ class Lattice:
             for i, j, rows, pieces in reversed(edges):
                 backward[i, rows] += backward[j, rows] * p[pieces]
             share = counts[places] / forward[n]
-            for i, j, rows, pieces in edges:
-                out += np.bincount(pieces, forward[i, rows] * p[pieces] * backward[j, rows] * share[rows], self.size)
+            weights = [forward[i, rows] * p[pieces] * backward[j, rows] * share[rows] for i, j, rows, pieces in edges]
+            out += np.bincount(np.concatenate([e[3] for e in edges]), np.concatenate(weights), self.size)
         return out
 
 
@@ -260,13 +262,20 @@ def train(df: DataFrame, text: str, lang: str, pieces: list[str | int], rounds:
             names, now = shared.value
             sums: dict[int, np.ndarray] = {}
             column = {name: k for k, name in enumerate(names)}
+            waiting: dict[int, list[tuple[str, int]]] = {}
+
+            def settle(k: int) -> None:
+                words, n = zip(*waiting.pop(k))
+                got = lattice.expected(list(words), np.array(n, np.float64), now[:, k].astype(np.float64))
+                sums[k] = sums[k] + got if k in sums else got
+
             for batch in batches:
-                langs = np.array([column[x] for x in batch.column(0).to_pylist()], np.int64)
-                words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(np.float64)
-                for k in np.unique(langs).tolist():
-                    rows = np.flatnonzero(langs == k)
-                    got = lattice.expected([words[r] for r in rows.tolist()], n[rows], now[:, k].astype(np.float64))
-                    sums[k] = sums[k] + got if k in sums else got
+                for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+                    waiting.setdefault(column[lang], []).append((word, n))
+                for k in [k for k, some in waiting.items() if len(some) >= TOGETHER]:
+                    settle(k)
+            for k in list(waiting):
+                settle(k)
             for k, total in sums.items():
                 units = np.rint(total * UNIT).astype(np.int64)
                 at = np.flatnonzero(units)
