@@ -15,28 +15,49 @@ from pyspark.sql import types as T
 from argent.functions.columns import safe_cast
 
 
-def _field(have: T.StructType, name: str, path: str) -> T.StructField:
+def _find(have: T.StructType, name: str) -> T.StructField | None:
     for f in have.fields:
         if f.name == name:
             return f
-    for f in have.fields:
-        if f.name.lower() == name.lower():
-            return f
-    raise ValueError(f"missing declared field {path}")
+    return next((f for f in have.fields if f.name.lower() == name.lower()), None)
+
+
+def _field(have: T.StructType, name: str, path: str) -> T.StructField:
+    found = _find(have, name)
+    if found is None:
+        raise ValueError(f"missing declared field {path}")
+    return found
 
 
-def stored_types(have: T.DataType, want: T.DataType, path: str = "") -> T.DataType:
+def missing_fields(have: T.DataType, want: T.DataType, path: str = "") -> set[str]:
+    """Paths of the declared fields that ``have`` lacks at any level."""
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        out: set[str] = set()
+        for f in want.fields:
+            where = f"{path}.{f.name}" if path else f.name
+            found = _find(have, f.name)
+            out |= {where} if found is None else missing_fields(found.dataType, f.dataType, where)
+        return out
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return missing_fields(have.elementType, want.elementType, f"{path}[]")
+    return set()
+
+
+def stored_types(have: T.DataType, want: T.DataType, path: str = "", lenient: bool = False) -> T.DataType:
     """``want`` with the stored leaf types: what a reader is asked for, so that
-    it resolves by name and prunes extra fields at every level."""
+    it resolves by name and prunes extra fields at every level. ``lenient``
+    leaves out declared fields that are not stored."""
     if isinstance(want, T.StructType) and isinstance(have, T.StructType):
         out = []
         for f in want.fields:
             where = f"{path}.{f.name}" if path else f.name
+            if lenient and _find(have, f.name) is None:
+                continue
             found = _field(have, f.name, where)
-            out.append(T.StructField(found.name, stored_types(found.dataType, f.dataType, where), True))
+            out.append(T.StructField(found.name, stored_types(found.dataType, f.dataType, where, lenient), True))
         return T.StructType(out)
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
-        return T.ArrayType(stored_types(have.elementType, want.elementType, f"{path}[]"), True)
+        return T.ArrayType(stored_types(have.elementType, want.elementType, f"{path}[]", lenient), True)
     return have
 
 
@@ -45,17 +66,13 @@ def _same(have: T.DataType, want: T.DataType) -> bool:
     return have.simpleString() == want.simpleString()
 
 
-def shaped(col: Column, have: T.DataType, want: T.DataType, path: str) -> Column:
+def shaped(col: Column, have: T.DataType, want: T.DataType, path: str, lenient: bool = False) -> Column:
     if _same(have, want):
         return col
     if isinstance(want, T.StructType) and isinstance(have, T.StructType):
-        fields = []
-        for f in want.fields:
-            found = _field(have, f.name, f"{path}.{f.name}")
-            fields.append(shaped(col.getField(found.name), found.dataType, f.dataType, f"{path}.{f.name}").alias(f.name))
-        return F.when(col.isNotNull(), F.struct(*fields))
+        return F.when(col.isNotNull(), F.struct(*_fields(lambda n: col.getField(n), have, want, f"{path}.", lenient)))
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
-        return F.transform(col, lambda x: shaped(x, have.elementType, want.elementType, f"{path}[]"))
+        return F.transform(col, lambda x: shaped(x, have.elementType, want.elementType, f"{path}[]", lenient))
     if isinstance(have, T.NullType):
         return F.lit(None).cast(want)
     if isinstance(want, (T.StructType, T.ArrayType)) or isinstance(have, (T.StructType, T.ArrayType)) \
@@ -64,10 +81,18 @@ def shaped(col: Column, have: T.DataType, want: T.DataType, path: str) -> Column
     return safe_cast(col, want, have)
 
 
-def shaped_like(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns of ``df`` in order, by name at every level."""
+def _fields(get, have: T.StructType, want: T.StructType, prefix: str, lenient: bool) -> list[Column]:
     out = []
-    for f in schema.fields:
-        found = _field(df.schema, f.name, f.name)
-        out.append(shaped(F.col(f"`{found.name}`"), found.dataType, f.dataType, f.name).alias(f.name))
-    return df.select(*out)
+    for f in want.fields:
+        if lenient and _find(have, f.name) is None:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        found = _field(have, f.name, f"{prefix}{f.name}")
+        out.append(shaped(get(found.name), found.dataType, f.dataType, f"{prefix}{f.name}", lenient).alias(f.name))
+    return out
+
+
+def shaped_like(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
+    """The declared columns of ``df`` in order, by name at every level;
+    ``lenient`` makes a declared field that is missing NULL."""
+    return df.select(*_fields(lambda n: F.col(f"`{n}`"), df.schema, schema, "", lenient))
