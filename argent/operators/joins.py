@@ -3,10 +3,11 @@
 Broadcast only behind a measured size: :func:`fits_broadcast` counts the
 rows and sums the bytes of the small side with one distributed aggregate
 before the join is planned. Beyond the bound the join is a shuffle join on
-the key; fact rows whose key is NULL can never match, so they are spread
-over the partitions instead of piling into the one that NULL hashes to. A hot non-NULL key is left to AQE's skew-join split
-(``spark.sql.adaptive.skewJoin.enabled``), which for a left join splits the
-fact side and replicates the (unique-key) dimension side.
+the key and a second value that spreads what would pile up in one task: fact rows
+with a NULL key, which never match, and the rows of a hot key, found by a
+mergeable frequency sketch (:func:`hot_keys`), whose dimension rows are
+copied once per spread value. Other keys are not copied; rows that are equal
+in every column stay together.
 """
 
 from __future__ import annotations
@@ -23,7 +24,12 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 #: Values over which the rows with a NULL key are spread on the shuffle path.
 NULL_SPREAD = 4096
-_SPREAD = "__argent_null_spread"
+_SPREAD = "__argent_spread"
+_COPIES = "__argent_copies"
+#: Most keys that are treated as hot, and items that their sketch tracks.
+HOT_MOST = 1000
+HOT_TRACKED = 16_384
+_SKETCHED = (T.BooleanType, T.IntegralType, T.FractionalType, T.StringType, T.DateType, T.TimestampType)
 
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
@@ -87,29 +93,54 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left",
-                broadcast: bool | None = None,
+                broadcast: bool | None = None, split_hot: bool = True,
                 max_rows: int = BROADCAST_MAX_ROWS,
                 max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join a lookup ``dim`` onto ``fact`` by one key column named ``on``.
 
     ``broadcast=None`` measures ``dim`` and broadcasts it only within
-    ``max_rows``/``max_bytes``; ``True``/``False`` force the choice. The
+    ``max_rows``/``max_bytes``; ``True``/``False`` force the choice. Without
+    ``split_hot`` a hot key is left to AQE's skew-join split. The
     output columns are those of ``fact.join(dim, on, how)``: key first.
     """
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_rows, max_bytes)
     if broadcast:
         return fact.join(F.broadcast(dim), on, how)
-    if how not in ("left", "left_outer", "leftouter"):
+    if how not in ("left", "left_outer", "leftouter", "inner"):
         return fact.join(dim, on, how)
-    # one pass over the fact: NULL keys match nothing, so a second join column
-    # that the dimension never has spreads them over the partitions
+    # one pass over the fact: the spread value of a NULL key is one the
+    # dimension never has, that of a hot key is one of its copies
     key = F.col(f"`{on}`")
     values = [F.col(f"`{f.name}`") for f in fact.schema.fields if _hashable(f.dataType)]
-    spread = F.when(key.isNotNull(), F.lit(0)).otherwise(
-        1 + F.pmod(F.xxhash64(*values), F.lit(NULL_SPREAD))).cast("int")
-    return fact.withColumn(_SPREAD, spread).join(
-        dim.withColumn(_SPREAD, F.lit(0)), [on, _SPREAD], how).drop(_SPREAD)
+    drawn = F.xxhash64(*values)
+    spread = F.when(key.isNull(), 1 + F.pmod(drawn, F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+    hot = hot_keys(fact, on) if split_hot else []
+    if not hot:
+        return fact.withColumn(_SPREAD, spread.cast("int")).join(
+            dim.withColumn(_SPREAD, F.lit(0)), [on, _SPREAD], how).drop(_SPREAD)
+    copies = F.broadcast(fact.sparkSession.createDataFrame(  # at most HOT_MOST rows
+        hot, T.StructType([fact.schema[on], T.StructField(_COPIES, T.IntegerType())])))
+    spread = F.when(F.col(_COPIES).isNotNull(), F.pmod(drawn, F.col(_COPIES))).otherwise(spread)
+    spread_fact = fact.join(copies, on, "left").withColumn(_SPREAD, spread.cast("int")).drop(_COPIES)
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1))
+    spread_dim = dim.join(copies, on, "left").withColumn(_SPREAD, each).drop(_COPIES)
+    return spread_fact.join(spread_dim, [on, _SPREAD], how).drop(_SPREAD)
+
+
+def hot_keys(df: DataFrame, on: str) -> list[tuple]:
+    """(key, copies) of the keys that hold more rows than an average shuffle
+    partition (and a thousandth of all): ``copies`` parts of such a key
+    are about as large as an average partition. One pass over the key column with
+    a mergeable sketch of ``HOT_TRACKED`` items, whose error is far below a
+    thousandth of the rows; the answer has at most ``HOT_MOST`` keys."""
+    if not isinstance(df.schema[on].dataType, _SKETCHED):
+        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(F.col(f"`{on}`").alias("k")).where(F.col("k").isNotNull())
+    row = keys.agg(F.expr(f"approx_top_k(k, {HOT_MOST}, {HOT_TRACKED})").alias("top"), F.count("k").alias("n")).first()
+    return [(x["item"], min(partitions, -(-x["count"] * partitions // row["n"]))) for x in row["top"] or ()
+            if x["count"] * min(partitions, HOT_MOST) > row["n"]]
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -604,6 +604,13 @@ SELECT r.* EXCLUDE (rn) REPLACE (d.situacao_nome AS situacao_nome, d.situacao_de
 FROM r LEFT JOIN d ON d.id = r.id WHERE rn = 1
 """
 
+SNAPSHOT_RUN = "\nUNION ALL\n".join(_digest(name, _SILVER_COUNTS[name]) for name in (
+    "accounts_payable", "accounts_receivable", "categories", "combined_accounts"))
+
+LANDING_NESTED = "\nUNION ALL\n".join(
+    [_digest(name, _SILVER_COUNTS[name]) for name in ("time_entries", "installments", "installment_payments")]
+    + ["SELECT 'rejects' AS table_name, 2 * count(*) AS row_count, CAST(0 AS BIGINT) AS digest FROM customer"])
+
 ORACLES: dict[str, str] = {
     "users_clean": USERS,
     "spaces_clean": SPACES,
@@ -642,6 +649,10 @@ ORACLES: dict[str, str] = {
     "layer_roundtrip": USERS,
     "silver_run": SILVER_RUN,
     "bronze_drift": BRONZE_DRIFT,
+    "bronze_mixed_files": BRONZE_DRIFT,
+    "landing_nested": LANDING_NESTED,
+    "snapshot_run": SNAPSHOT_RUN,
+    "catalog_roundtrip": USERS,
     "sales_hot_key": SALES_HOT_KEY,
     "template_run": HIGH_VALUE_DEALS,
     "combined_accounts_fan_out": COMBINED_FAN_OUT,

@@ -11,6 +11,7 @@ is published is compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,8 @@ from argent.plans import pipelines as P
 from argent.plans.silver import ALL as SILVER
 from argent.session import materialize, prepare, run_folder
 from argent.sources.driver_shapes import RUN_TS, DriverTables
-from argent.sources.layers import LayerStore, load_table, save_table
+from argent.sources.layers import CatalogStore, LayerStore, load_table, save_table
+from argent.sources.snapshots import SnapshotStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -452,3 +454,77 @@ def template_run(spark, sf_dir):
     high = P.high_value_deals(load_table(layer_name="Silver", table_name="deals_persons", store=store), 1000)
     save_table(high, layer_name="Gold", table_name="high_value_deals", folder_name="sales", store=store)
     return load_table(layer_name="Gold", table_name="high_value_deals", store=store)
+
+
+@query("bronze_mixed_files")
+def bronze_mixed_files(spark, sf_dir):
+    """Bronze tables of which some files store other types than others
+    (numbers as text, nested fields in another order); one scan a stored schema, united by name."""
+    t = tables(spark, sf_dir)
+    store = LayerStore(spark, run_folder(spark))
+    for name, df in {"sales": t.sales(), "sales_details": t.sales_details(), "categories": t.categories(),
+                     "time_entries": t.time_entries()}.items():
+        some = F.pmod(F.xxhash64(F.to_json(F.struct("*"))), F.lit(2)) == 0
+        df = materialize(df)
+        store.write(drifted(df.where(some)), J.BRONZE, name)
+        store.write(df.where(~some), J.BRONZE, name, mode="append")
+    bronze = lambda name: store.read(J.BRONZE, name, B.ALL[name])
+    return union_by_name([
+        digest(P.sales(bronze("sales"), bronze("sales_details"), RUN_TS), "sales"),
+        digest(P.categories(bronze("categories"), RUN_TS), "categories"),
+        digest(P.time_entries(bronze("time_entries")), "time_entries")])
+
+
+@query("landing_nested")
+def landing_nested(spark, sf_dir):
+    """Nested raw JSON landed with its declared schema; a broken record per
+    customer goes to the rejects. Digests of the Silver tables, and the number of rejects."""
+    t = tables(spark, sf_dir)
+    store = SnapshotStore(spark, run_folder(spark))
+    broken = t.table("customer").select(F.concat(F.lit('{"id": "'), F.col("c_custkey"), F.lit('", "itens": [{')).alias("value"))
+    for name, df in {"time_entries": t.time_entries(), "installments": t.installments()}.items():
+        raw = f"{store.root}/landing/{name}"
+        df.select(F.to_json(F.struct("*")).alias("value")).unionAll(broken).write.text(raw)
+        store.land(raw, J.BRONZE, name, B.ALL[name])
+    bronze = lambda name: store.read(J.BRONZE, name, B.ALL[name])
+    rejected = union_by_name([store.rejects(J.BRONZE, name).where(F.col("reason") == "not a JSON object")
+                              for name in ("time_entries", "installments")])
+    return union_by_name([
+        digest(P.time_entries(bronze("time_entries")), "time_entries"),
+        digest(P.installments(bronze("installments"), RUN_TS), "installments"),
+        digest(P.installment_payments(bronze("installments"), RUN_TS), "installment_payments"),
+        rejected.select(F.lit("rejects").alias("table_name"), F.lit(1).alias("one")).groupBy("table_name").agg(
+            F.count("one").alias("row_count"), F.lit(0).cast("long").alias("digest"))])
+
+
+@query("snapshot_run")
+def snapshot_run(spark, sf_dir):
+    """O2, §3.2: the accounts job in one run of the snapshot store: its tables
+    are published by one commit, dependent tables read the run's own; a batch
+    appended twice counts once."""
+    t = tables(spark, sf_dir)
+    store = SnapshotStore(spark, run_folder(spark))
+    for batch in ("first", "first"):
+        with store.run() as run:
+            for name, df in {"payables": t.payables(), "receivables": t.receivables(), "categories": t.categories()}.items():
+                run.write(df, J.BRONZE, name, mode="append", batch=batch)
+    with store.run() as run:
+        J.run(spark, run, RUN_TS, tables=["combined_accounts"])
+    names = ["accounts_payable", "accounts_receivable", "categories", "combined_accounts"]
+    return union_by_name([digest(store.read(J.SILVER, name), name) for name in names])
+
+
+@query("catalog_roundtrip")
+def catalog_roundtrip(spark, sf_dir):
+    """O2, O3, O5 over the session catalog: a table written, refreshed from itself,
+    refreshed with another schema and published; each refresh is staged."""
+    t = tables(spark, sf_dir)
+    store = CatalogStore(spark)
+    silver, gold = (f"argent_{layer}_{uuid.uuid4().hex}" for layer in ("silver", "gold"))
+    for layer in (silver, gold):
+        spark.sql(f"CREATE DATABASE `{layer}` LOCATION '{run_folder(spark)}'")
+    users = P.users(t.users())
+    store.write(users.select(users.columns[0]), silver, "users")
+    store.write(users, silver, "users", folder="time_tracking")
+    store.write(store.read(silver, "users"), silver, "users")
+    return store.publish(silver, "users", gold, folder="reports")

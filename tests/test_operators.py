@@ -1,5 +1,6 @@
 """Relational operators: keep-one, explode, unions, joins."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from argent.operators import (
@@ -10,6 +11,7 @@ from argent.operators import (
     rows_referenced_by,
     union_by_name,
 )
+from argent.operators.joins import hot_keys
 from engine_fixtures import rows
 
 
@@ -108,9 +110,29 @@ def test_lookup_join_shuffle_path_reads_the_fact_once_and_spreads_null_keys(spar
     assert spread > 500
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_key_is_split_at_default_settings(spark, how):
+    """The sketch finds the hot key; its rows meet copies of its dimension rows in many tasks."""
+    fact = spark.range(0, 30000, 1, 8).selectExpr("IF(id % 3 = 0, 7, IF(id % 7 = 0, NULL, id)) AS k", "id AS v")
+    dim = spark.range(0, 20000, 1, 4).selectExpr("id AS k", "CAST(id AS STRING) AS name")
+    assert [k for k, _ in hot_keys(fact, "k")] == [7] and hot_keys(fact.limit(0), "k") == []
+    assert hot_keys(dim, "k") == [] and hot_keys(fact.select(F.array("k").alias("k")), "k") == []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_join(fact, dim, "k", how, broadcast=False)
+        assert out.columns == ["k", "v", "name"] and rows(out) == rows(fact.join(dim, "k", how))
+        tasks = out.withColumn("task", F.spark_partition_id()).groupBy("task").agg(
+            F.count("*").alias("n"), F.sum((F.col("k") == 7).cast("int")).alias("hot")).collect()
+        assert sum(1 for t in tasks if t["hot"]) >= 3 and max(t["n"] for t in tasks) < 10000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_lookup_join_hot_key_is_split(spark):
-    """With thresholds a test size can reach, adaptive execution splits the
-    partition of the hot key."""
+    """Without the sketch, and with thresholds a test size can reach, adaptive
+    execution splits the partition of the hot key."""
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
@@ -120,7 +142,7 @@ def test_lookup_join_hot_key_is_split(spark):
     try:
         fact = spark.range(0, 30000, 1, 8).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v", "repeat('x', 20) AS t")
         dim = spark.range(0, 30000, 1, 4).selectExpr("id AS k", "CAST(id AS STRING) AS name")
-        out = lookup_join(fact, dim, "k", "left", broadcast=False)
+        out = lookup_join(fact, dim, "k", "left", broadcast=False, split_hot=False)
         assert len(out.collect()) == 30000
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
