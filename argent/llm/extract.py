@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -84,7 +85,7 @@ _GROUP = {"p": 0, **{h: 1 for h in HEADINGS}, "ul": 2, "ol": 2, "dl": 2, "li": 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|itemprop|data-truth)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _STOPS = re.compile(r"[.,;:!?]")
 
@@ -104,11 +105,18 @@ class Block:
         self.chars = self.links = self.tags = self.stops = 0
 
 
-def parse(html: str) -> list[Block]:
-    """Block elements in page order, the page itself first."""
+def parse(html: str, mark: str | None = None) -> list[Block]:
+    """Block elements in page order, the page itself first. ``mark`` is the
+    attribute by which a training page tells its truth; no other page has one.
+
+    Linear in the page: no tag is looked for beyond the last ``>``, and an end
+    tag looks down the stack only if its element is open."""
     root = Block("#page", None, frozenset(), 0, None)
     blocks, stack = [root], [root]  # the stack holds blocks; inline elements only count
+    opened: Counter = Counter()  # tags on the stack
     link, at, seen, pos, size = 0, root, 0, 0, len(html)
+    last = html.rfind(">") + 1
+    truth_of = re.compile(rf'{mark}="([01])"') if mark else None
 
     def text(piece: str) -> None:
         nonlocal seen
@@ -121,14 +129,22 @@ def parse(html: str) -> list[Block]:
                 at.links += n
             seen += n
 
+    def close(k: int) -> Block:
+        """Take the stack's elements from the k-th on off it."""
+        opened.subtract(b.tag for b in stack[k:])
+        del stack[k:]
+        return stack[-1]
+
     while pos < size:
-        m = _TAG.search(html, pos)
+        m = _TAG.search(html, pos, last)
         if m is None:
-            text(unescape(html[pos:]))
+            text(unescape(html[pos:].split("<!--", 1)[0]))
             break
         if m.start() > pos:
             text(unescape(html[pos:m.start()]))
         pos = m.end()
+        if pos == last and html.startswith("<!--", m.start()) and not html.endswith("-->", m.start() + 4, pos):
+            break  # a comment that never ends
         name = m[2] or m[5]
         if name is None:
             continue
@@ -142,20 +158,18 @@ def parse(html: str) -> list[Block]:
             continue
         link = 0
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == name:
-                    del stack[k:]
-                    at = stack[-1]
-                    break
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k].tag != name:
+                    k -= 1
+                at = close(k)
             continue
         if name in CLOSES_P and at.tag == "p":
-            stack.pop()
-            at = stack[-1]
-        elif name in SAME_CLOSES:
+            at = close(len(stack) - 1)
+        elif name in SAME_CLOSES and any(opened[t] > 0 for t in SAME_CLOSES[name]):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in SAME_CLOSES[name]:
-                    del stack[k:]
-                    at = stack[-1]
+                    at = close(k)
                     break
                 if stack[k].tag in SCOPES:
                     break
@@ -163,12 +177,10 @@ def parse(html: str) -> list[Block]:
         if name in TAG_KIND:
             kinds.add(TAG_KIND[name])
         if attrs and "=" in attrs:
-            for key, *values in _ATTR.findall(attrs):
-                value = "".join(values)
-                if key.lower() == "data-truth":
-                    truth = int(value)
-                else:
-                    kinds.update(_KIND[t] for t in _SPLIT.split(value.lower()) if t in _KIND)
+            for _, *values in _ATTR.findall(attrs):
+                kinds.update(_KIND[t] for t in _SPLIT.split("".join(values).lower()) if t in _KIND)
+            told = truth_of.search(attrs) if truth_of else None
+            truth = int(told[1]) if told else None
         block = Block(name, at, frozenset(kinds), seen, truth)
         at.pieces.append(block)
         at.children.append(block)
@@ -178,6 +190,7 @@ def parse(html: str) -> list[Block]:
             pos = end.end() if end else size
         elif name not in VOID and not attrs.endswith("/"):
             stack.append(block)
+            opened[name] += 1
             at = block
     return blocks
 
@@ -199,8 +212,7 @@ def features(blocks: list[Block]) -> list[list[float]]:
         if b.children:
             n = len(b.children)
             mean = sum(total[index[id(c)]] for c in b.children) / n
-            names = [c.tag for c in b.children]
-            count = {t: names.count(t) for t in set(names)}
+            count = Counter(c.tag for c in b.children)
             for k, c in enumerate(b.children):
                 sibling[index[id(c)]] = (n, k, mean, count[c.tag] / n)
     out = []
@@ -217,8 +229,16 @@ def features(blocks: list[Block]) -> list[list[float]]:
     return out
 
 
-def variant(html: str, seed: int) -> str | None:
-    """A training page: the named article gets its truth; other than variant 0
+def unused_mark(html: str) -> str:
+    """An attribute name that the page does not contain."""
+    mark = "truth"
+    while mark in html:
+        mark += "-x"
+    return mark
+
+
+def variant(html: str, seed: int, mark: str) -> str | None:
+    """A training page: the named article gets its truth in attribute ``mark``; other than variant 0
     it may lose its name and gains lists, headings, quotes, tables and clutter. None if no article is named."""
     found = re.search(NAMED, html, re.I)
     if not found:
@@ -234,7 +254,7 @@ def variant(html: str, seed: int) -> str | None:
         body = before.find(">", body) + 1
     words = re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>", " ", inside))[:400] or ["word"]
     if seed % VARIANTS == 0:
-        return f'{before}<{name} data-truth="1">{inside}{after}'
+        return f'{before}<{name} {mark}="1">{inside}{after}'
 
     def sentence() -> str:
         return " ".join(r.choice(words) for _ in range(r.randint(3, 25))) + r.choice([".", "", "!"])
@@ -247,7 +267,7 @@ def variant(html: str, seed: int) -> str | None:
             inner = "<ul>" + "".join(f'<li><a href="/">{r.choice(words)}</a></li>' for _ in range(r.randint(2, 9))) + "</ul>"
         else:
             inner = "".join(f"<p>{sentence()}</p>" for _ in range(r.randint(1, 4))) if r.random() < 0.6 else sentence()
-        return f'<{tag}{named} data-truth="0">{inner}</{tag}>'
+        return f'<{tag}{named} {mark}="0">{inner}</{tag}>'
 
     def content() -> str:
         items = [sentence() for _ in range(r.randint(2, 6))]
@@ -272,16 +292,16 @@ def variant(html: str, seed: int) -> str | None:
     head = "".join(clutter(r.choice(kinds)) for _ in range(r.randint(0, 3)))
     foot = "".join(clutter(r.choice(kinds)) for _ in range(r.randint(0, 4)))
     tail = after[after.find(">") + 1:]
-    return (f'{before[:max(body, 0)]}{head}{before[max(body, 0):]}<{tag}{named} data-truth="1">{"".join(parts)}</{tag}>{foot}{tail}')
+    return (f'{before[:max(body, 0)]}{head}{before[max(body, 0):]}<{tag}{named} {mark}="1">{"".join(parts)}</{tag}>{foot}{tail}')
 
 
 def training_rows(html: str, page: int) -> list[tuple[list[float], float]]:
-    out = []
+    out, mark = [], unused_mark(html)
     for v in range(VARIANTS):
-        made = variant(html, page * VARIANTS + v)
+        made = variant(html, page * VARIANTS + v, mark)
         if made is None:
             continue
-        blocks = parse(made)
+        blocks = parse(made, mark)
         mixed = set()
         for b in reversed(blocks):  # a container of both kinds is not content
             if b.parent is not None and (id(b) in mixed or b.truth != b.parent.truth):
@@ -349,10 +369,10 @@ def trained(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     rest = F.regexp_extract(html, f"(?is){NAMED}(.*)", 2)
     hashed = pages.filter((name != "") & F.contains(F.lower(rest), F.concat(F.lit("</"), name))) \
         .select(F.xxhash64(id_col, F.octet_length(html_col)).alias("h"), html.alias("html"))
-    last = hashed.select("h").orderBy("h").limit(TRAIN_PAGES).agg(F.max("h").alias("h")).first()["h"]
+    last = hashed.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).agg(F.max("h").alias("h")).first()["h"]
     if last is None:
         return None
-    picked = hashed.filter(F.col("h") <= last).select("h", "html")
+    picked = hashed.filter(F.col("h") <= last).groupBy("h").agg(F.min("html").alias("html"))  # equal pages count once
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -52,7 +52,7 @@ def test_rare_named_articles_train_the_trees(spark, sf):
         .orderBy(F.xxhash64("page_id", F.octet_length("html")).desc()).limit(8)
     plain = spark.range(20_000).selectExpr(
         "id + 1000000 as page_id", "concat('<body><article><div><p>Words of page ', id, '.</p></div></body>') as html")
-    assert M.variant(plain.first().html, 0) is None  # never closed
+    assert M.variant(plain.first().html, 0, "truth") is None  # never closed
     assert M.trained(plain.union(named)) is not None
     assert M.trained(plain) is None
 
@@ -73,3 +73,31 @@ def test_long_and_broken_markup():
     M.features(M.parse(deep))
     assert M.parse("<p title='x>y'>a</p>")[1].pieces == ["a"]
     assert M.parse("<!-- never closed <p>x")[0].pieces == []
+
+
+def test_training_is_bounded_and_blind_to_the_pages_own_attributes(spark, sf):
+    page = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").first()
+    own = page.html.replace("<article", "<article data-truth='x' truth=\"0\"").replace("<nav", "<nav data-truth=\"\"")
+    mark = M.unused_mark(own)
+    assert mark not in own and any(b.truth == 1 for b in M.parse(M.variant(own, 0, mark), mark))
+    assert all(b.truth is None for b in M.parse(own)) and len(M.training_rows(own, 1)) > 0
+    many = spark.createDataFrame([(page.page_id, own)] * 400 + [(k, own) for k in range(5)], "page_id long, html string")
+    trees = M.trained(many)
+    out = M.extracted(many, ["page_id"], trees).select("text").distinct().collect()
+    assert len(out) == 1 and out[0].text
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    for html in ("<a " * 350_000, "<div>" * 50_000 + "</p>" * 50_000, "</x>" * 100_000, "".join(f"<t{k}>" for k in range(100_000)),
+                 "<!" * 300_000, "<p \"" * 200_000, "<p '>" * 100_000, "<tr></tr>" * 40_000, "<x>" * 40_000 + "<tr></tr>" * 40_000):
+        began = time.time()
+        M.features(M.parse(html))
+        assert time.time() - began < 5, html[:40]
+
+
+def test_ends_without_a_closing_bracket():
+    text = lambda html: "".join(p for p in M.parse(html)[0].pieces if isinstance(p, str))
+    assert text("a <b") == "a <b" and text("a <!-- x") == "a " and text("a <!-- x > y") == "a "
+    assert text("a <b> c <!-- d") == "a  c " and text("a <!-- b --> c") == "a  c" and text("a <b>c <d") == "a c <d"
