@@ -7,14 +7,19 @@ event holds until the pattern's next one. A capture is looked up by all
 patterns that its URL has, each as of its fetch day, and is blocked if any of
 them is blocked on that day; the most specific one is reported.
 
-Intervals are cut at bucket boundaries (``BUCKET_DAYS``) within the span of
-the captures, so the as-of join is an equality join on (pattern, bucket) that
-meets at most the few intervals of one bucket; a pattern's intervals are
+Intervals are cut at bucket boundaries (``BUCKET_DAYS``) and kept in the
+buckets in which captures occur, so the as-of join is an equality join on
+(pattern, bucket) that meets at most the few intervals of one bucket, and a capture
+of a far day adds its one bucket, not all between. A pattern's intervals are
 disjoint, so a capture gets at most one row a pattern. The list is broadcast
 only behind a measured size; else adaptive execution may split a hot pattern's
 captures, since nothing above the join needs them together. Built-in
 expressions only.
 
+A host is in lower case, without user, password, port and a trailing dot; an IP
+address has no domain; a domain is the last two labels of the host, or three
+where the last two are a public suffix (a parameter).
+
 Defined results: a NULL or unparsable URL or a NULL day matches nothing and is
 not blocked; repeated captures are rows of their own; entries with a NULL
 pattern or day are ignored; an empty list blocks nothing, empty captures give
@@ -23,6 +28,9 @@ an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +43,17 @@ SPAN_DAYS = 366
 FIRST_DAY = "2024-01-01"
 
 
-def patterns(url: Column) -> Column:
+#: Public suffixes of two labels, unless the caller has a list of its own.
+SUFFIXES = "ac.jp ac.uk co.in co.jp co.kr co.nz co.uk co.za com.ar com.au com.br com.cn com.mx com.tr com.tw gov.uk net.au org.au org.uk".split()
+
+
+def patterns(url: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
     """The URL's patterns, least specific first: domain, host, host/segment."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1))
-    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+    authority = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    host = F.lower(F.regexp_extract(F.regexp_replace(authority, "^.*@", ""), r"^(\[[^\]]*\]|[^:]*?)\.?(?::[0-9]*)?$", 1))
+    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+    three = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    domain = F.when(host.rlike(r"^([0-9.]+|\[.*)$"), "").when(two.isin(*suffixes), three).otherwise(two)
     segment = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
     return F.when(host != "", F.array(
         F.when(domain != "", F.concat(F.lit("domain:"), domain)), F.concat(F.lit("host:"), host),
@@ -64,12 +79,13 @@ def blocked(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str,
     ``since`` of the most specific entry that was active on its day."""
     seen = landed(captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(day_col).alias("day"))
                   .withColumn("row", F.monotonically_increasing_id()), "captures")
-    span = seen.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()  # two dates
-    earliest, latest = (F.lit(d).cast("date") for d in (span["a"], span["b"]))
-    cut = intervals(entries).filter(F.col("since") <= latest) \
-        .withColumn("last", F.least(F.coalesce(F.date_sub("until", 1), latest), latest)) \
-        .withColumn("first", F.greatest(F.col("since"), earliest)).filter("first <= last") \
-        .select("pattern", "since", "until", F.explode(F.sequence(bucket(F.col("first")), bucket(F.col("last")))).alias("bucket"))
+    days = seen.where("day is not null").select(bucket(F.col("day")).alias("b")).distinct()
+    # one number per 16 days that have a capture, whatever the number of captures
+    met = F.from_json(F.lit(json.dumps(sorted(r["b"] for r in days.collect()))), "array<int>")
+    first = bucket(F.col("since"))
+    last = F.coalesce(bucket(F.date_sub("until", 1)), F.lit(2 ** 31 - 1))
+    cut = intervals(entries).select("pattern", "since", "until", first.alias("first"), last.alias("last")).select(
+        "pattern", "since", "until", F.explode(F.filter(met, lambda b: b.between(F.col("first"), F.col("last")))).alias("bucket"))
     cut = landed(cut, "intervals")
     keyed = seen.select("row", "day", bucket(F.col("day")).alias("bucket"), F.posexplode(patterns(F.col("url"))).alias("level", "pattern")) \
         .filter("pattern is not null and day is not null")
@@ -104,15 +120,22 @@ def op7_url_filters(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-WITH p AS (
-  SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', '') AS authority FROM pages),
+p AS (
+  SELECT page_id, lower(regexp_extract(authority, '^(\[[^\]]*\]|[^:]*?)\.?(?::[0-9]*)?$', 1)) AS host,
          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS segment
-  FROM pages),
+  FROM a),
+o AS (
+  SELECT *, CASE WHEN regexp_matches(host, '^([0-9.]+|\[.*)$') THEN ''
+    WHEN regexp_extract(host, '([^.]+\.[^.]+)$', 1) IN (@SUFFIXES) THEN regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1)
+    ELSE regexp_extract(host, '([^.]+\.[^.]+)$', 1) END AS domain
+  FROM p),
 q AS (
   SELECT page_id, host, CASE WHEN host <> '' THEN 'host:' || host END AS h,
-         CASE WHEN regexp_extract(host, '([^.]+\.[^.]+)$', 1) <> '' THEN 'domain:' || regexp_extract(host, '([^.]+\.[^.]+)$', 1) END AS d,
+         CASE WHEN host <> '' AND domain <> '' THEN 'domain:' || domain END AS d,
          CASE WHEN host <> '' AND segment <> '' THEN 'path:' || host || '/' || segment END AS s
-  FROM p),
+  FROM o),
 e AS (
   SELECT CASE WHEN page_id % 5 <= 1 THEN h WHEN page_id % 5 <= 3 THEN d ELSE s END AS pattern,
          DATE '2024-01-01' + CAST((page_id * 11) % 366 AS INTEGER) AS day, page_id % 5 IN (0, 2, 4) AS block
@@ -130,4 +153,4 @@ hit AS (
 SELECT c.page_id, CAST(c.day AS VARCHAR) AS day, hit.pattern IS NOT NULL AS blocked, hit.pattern AS pattern,
        CAST(hit.since AS VARCHAR) AS since
 FROM c LEFT JOIN hit ON c.page_id = hit.page_id AND hit.r = 1
-"""
+""".replace("@SUFFIXES", ", ".join(f"'{s}'" for s in SUFFIXES))

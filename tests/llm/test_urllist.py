@@ -1,5 +1,7 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from argent.llm import urllist as M
 
 D = datetime.date
@@ -33,3 +35,23 @@ def test_shuffle_path_gives_the_same(spark, sf, monkeypatch):
     assert sorted(map(repr, df.collect())) == want
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_far_capture_adds_no_rows_between(spark, monkeypatch):
+    entries = spark.createDataFrame([(f"host:h{k}.com", D(2024, 1, 10), True) for k in range(20)], "pattern string, day date, block boolean")
+    captures = spark.createDataFrame([(1, "http://h1.com", D(2024, 1, 11)), (2, "http://h2.com", D(9999, 12, 31)), (3, "http://h2.com", D(1, 1, 1))],
+                                     "id long, u string, day date")
+    sizes, landed = [], M.landed
+    monkeypatch.setattr(M, "landed", lambda df, name: (out := landed(df, name), sizes.append((name, out.count())))[0])
+    out = {r.id: r.blocked for r in M.blocked(captures, entries, "id", "u", "day").collect()}
+    assert out == {1: True, 2: True, 3: False} and dict(sizes)["intervals"] == 40   # 20 entries in the 2 later buckets
+
+
+def test_hosts(spark):
+    urls = {"http://user:pw@evil.com/x": ["domain:evil.com", "host:evil.com", "path:evil.com/x"], "HTTP://A.B.co.uk.:80": ["domain:b.co.uk", "host:a.b.co.uk", None],
+            "http://10.0.0.1/a": [None, "host:10.0.0.1", "path:10.0.0.1/a"], "http://[::1]:8080/a?b": [None, "host:[::1]", "path:[::1]/a"],
+            "http://localhost": [None, "host:localhost", None], "http://co.uk": [None, "host:co.uk", None], "http://": None, "x": None, "http://a@b@c.org": ["domain:c.org", "host:c.org", None]}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = {r.u: r.p for r in df.select("u", M.patterns(F.col("u")).alias("p")).collect()}
+    assert got == urls
+    assert df.select(M.patterns(F.lit("http://a.b.co.uk"), ["x"])[0].alias("d")).first().d == "domain:co.uk"
