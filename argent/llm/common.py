@@ -57,6 +57,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def boxed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Every row of ``df`` as one column ``row`` beside ``columns`` of our own:
+    whatever names ``df`` has, none clashes. ``select("row.*")`` gives the rows back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[c.alias(name) for name, c in columns.items()])
+
+
 def unit_interval(hash64: Column) -> Column:
     """A 64-bit hash as a double strictly between 0 and 1."""
     return (F.shiftrightunsigned(hash64, 11).cast("double") + 0.5) / float(1 << 53)

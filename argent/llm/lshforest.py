@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import landed, scratch_path, ship, table
+from argent.llm.common import boxed, landed, scratch_path, ship, table
 from argent.operators.joins import fits_broadcast
 
 WORDS = 5
@@ -337,16 +337,18 @@ def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without near duplicates: of each class the row with the
-    smallest id (NULL ids last, then by text) stays, with all its columns."""
+    smallest id (NULL ids last, then by text) stays, with all its columns,
+    which may have any name."""
     known = classes(docs, id_col, text_col)
     rank = F.struct(F.col("id").isNull().alias("a"), F.coalesce("id", F.lit(0)).alias("b"), F.col("node").alias("c"))
     kept = landed(known.groupBy("root").agg(F.min(rank).alias("r"), F.count(F.lit(1)).alias("n")).select(
-        F.col("r.c").alias("_node"), F.when(~F.col("r.a"), F.col("r.b")).alias("_id"),), "kept")
+        F.col("r.c").alias("kept_node"), F.when(~F.col("r.a"), F.col("r.b")).alias("kept_id")), "kept")
     if fits_broadcast(kept):
         kept = F.broadcast(kept)
     node = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    out = docs.withColumn("_node_", node).join(
-        kept, (F.col("_node_") == F.col("_node")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    # rows that repeat id and text are one group: one of them stays
-    twice = known.groupBy("id", "node").count().filter("count > 1").limit(1).count()
-    return (out.dropDuplicates([id_col, "_node_"]) if twice else out).drop("_node_")
+    out = boxed(docs, node=node, id=F.col(id_col).cast("long")).join(
+        kept, (F.col("node") == F.col("kept_node")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # rows that repeat id and text are one group: the first of them as text stays
+    if known.groupBy("id", "node").count().filter("count > 1").limit(1).count():
+        out = out.groupBy("id", "node").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return out.select("row.*")

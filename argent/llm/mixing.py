@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from argent.llm.common import landed, table, unit_interval
+from argent.llm.common import boxed, landed, table, unit_interval
 
 CAP = 3
 WEIGHTS = (5, 2, 1)
@@ -109,16 +109,17 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     its columns. Documents stay whole: the one at a boundary is in if at least
     half of it is wanted. Ids are expected to be unique within a source; rows
     that repeat an id get the largest number of copies of any of them. A
-    document without words is kept once: it costs no budget."""
+    document without words is kept once: it costs no budget. Columns may have any name."""
     size, part = F.col("size"), F.col("part")
     copies = mixed(docs, id_col, text_col, source_col).select(
-        F.col("id").alias("_id"), F.col("s_null").alias("_s_null"), F.col("s").alias("_s"),
-        F.when(size == 0, 1).otherwise(F.col("epochs") + F.when(2 * part >= size, 1).otherwise(0)).cast("int").alias("_copies")) \
-        .groupBy("_id", "_s_null", "_s").agg(F.max("_copies").alias("_copies")).filter("_copies > 0")
-    keep = docs.columns
-    tagged = docs.withColumn("_n", F.col(source_col).isNull()).withColumn("_t", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    out = tagged.join(copies, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_s_null")) & (F.col("_t") == F.col("_s")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*keep)
+        F.col("id").alias("of_id"), F.col("s_null").alias("of_null"), F.col("s").alias("of_source"),
+        F.when(size == 0, 1).otherwise(F.col("epochs") + F.when(2 * part >= size, 1).otherwise(0)).cast("int").alias("copies")) \
+        .groupBy("of_id", "of_null", "of_source").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    source = F.col(source_col)
+    rows = boxed(docs, id=F.col(id_col), no_source=source.isNull(), source=F.coalesce(source.cast("string"), F.lit("")))
+    out = rows.join(copies, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("no_source") == F.col("of_null"))
+                    & (F.col("source") == F.col("of_source")))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
