@@ -24,4 +24,4 @@ def test_every_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
