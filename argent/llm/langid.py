@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -296,11 +297,14 @@ def train(df: DataFrame, text: str, lang: str, pieces: list[str | int], rounds:
 # -------------------------------------------------------------- scoring
 
 class _Tokens(dict):
-    """Token -> number; their scores per language and letters are kept by number."""
+    """Token -> number; their scores per language and letters are kept by
+    number, and so are the scores of the words that tokens are made of."""
 
     def __init__(self, lattice: Lattice, p: np.ndarray):
         super().__init__()
         self.lattice, self.p, self.new = lattice, p, []
+        self.words: dict[str, int] = {}
+        self.of_word = np.zeros((0, p.shape[1]))
         self.score = np.zeros((0, p.shape[1]))
         self.spelled = np.zeros(0, bool)
 
@@ -310,10 +314,11 @@ class _Tokens(dict):
         return number
 
     def settle(self) -> None:
-        """Score the tokens that are new since the last call, each word once."""
-        number: dict[str, int] = {}
+        """Score the tokens that are new since the last call, and the new words in them."""
+        number, known = self.words, len(self.words)
         words = [[number.setdefault(w, len(number)) for w in words_of(t)] for t in self.new]
-        of_word = self.lattice.log_probability(list(number), self.p)
+        of_word = self.of_word = np.concatenate(
+            (self.of_word, self.lattice.log_probability(list(islice(number, known, None)), self.p)))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         spelled = sizes > 0
         fresh = np.zeros((len(words), self.p.shape[1]))
