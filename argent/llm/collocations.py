@@ -47,8 +47,8 @@ from argent.llm.common import landed, ship, table
 TOKENS = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 MARKS = b".,;:!?\n\x0b\x0c\r"
 #: Words, and distinct words, after which a block ends.
-BLOCK_WORDS = 1_000_000
-BLOCK_DISTINCT = 400_000
+BLOCK_WORDS = 2_000_000
+BLOCK_DISTINCT = 800_000
 #: Entries that a merged shard should hold.
 SHARD_ENTRIES = 1_000_000
 #: Longest phrase: two halves of two ids each.
