@@ -1,23 +1,29 @@
-"""Near duplicates by n-gram Jaccard similarity: MinHash LSH in bands of a
-fixed depth (in place of an LSH forest), then exact verification.
+"""Near duplicates by n-gram Jaccard similarity: a MinHash LSH forest, then
+exact verification.
 
 1. Equal texts are one *node* (MD5 of the text); only nodes are compared.
 2. A node's set of word n-grams (lower-cased words, runs of non-white-space,
    five to a gram; a shorter text is one gram) is MinHashed. Each of ``TREES``
-   bands (called tries here) has its own sequence of minimum hashes, all of one
-   fixed depth; no trie is sorted and no longer prefix is matched. Two nodes
-   that share a whole sequence in some band are candidates. The depth follows
-   from the constants alone: the longest, up to ``LONGEST``, that finds a pair at
-   exactly the threshold with the target recall (:func:`prefix_length`).
-3. The nodes that share a prefix form a run, named after its smallest node.
-   Runs of different tries with one name are united to a *cell*, so a group
-   of near copies is compared in a few cells, not once a trie. A large cell is
-   dealt in blocks; each pair of blocks is a unit of work of bounded size.
+   prefix tries keeps the node's own sequence of ``LONGEST`` minimum hashes; a
+   prefix of the sequence names a place in the trie.
+3. Nodes at one place of a trie at the current depth form a run, named after
+   its smallest node. Runs of different tries with one name are united to a
+   *cell*, so a group of near copies is compared in a few cells, not once a
+   trie. A large cell is dealt in blocks; each pair of blocks is a unit of work
+   of bounded size.
 4. Each unit computes exact Jaccard similarities of all its pairs and returns
    one row per node: its number of links and the smallest node that it is
    connected with. A pair that meets in several cells is counted in the first
    of them only. No row per pair is ever made, and no pair is left out.
-5. Connected components of those rows give the classes.
+5. The first step matches the whole sequences. The least similar pair verified
+   so far tells the recall: a pair of similarity s meets at depth d with
+   probability 1 - (1 - s^d)^TREES. While that is below ``RECALL``, the matched
+   prefix is shortened to the depth that reaches it, and cells that the shorter
+   prefix leaves as they were are not compared again. At the threshold itself
+   the depth is 7, so there are at most three steps. Where no pair shows up that
+   asks for it, pairs meet by whole sequences, which finds a lone pair at the
+   threshold with probability 0.99.
+6. Connected components of those rows give the classes.
 
 Defined results: a NULL text counts as empty; texts without words equal only
 texts of the same bytes; repeated rows are documents of their own, linked with
@@ -42,7 +48,9 @@ from argent.operators.joins import fits_broadcast
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 32
-LONGEST = 12
+#: Minimum hashes in a trie's sequence, and bytes kept of each.
+LONGEST = 9
+HASH_BYTES = 2
 RECALL = 0.999
 #: Bounds of a block: nodes, and n-grams of all its nodes.
 BLOCK_NODES = 512
@@ -53,12 +61,11 @@ REMEMBERED = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def prefix_length(trees: int, longest: int, threshold: float, recall: float) -> int:
-    """Shorten the matched prefix from ``longest`` values until a pair whose
-    similarity is the threshold shares it in some trie with at least the
-    target recall."""
+def prefix_length(trees: int, longest: int, similarity: float, recall: float) -> int:
+    """Shorten the matched prefix from ``longest`` values until a pair of this
+    similarity shares it in some trie with at least the target recall."""
     length = longest
-    while length > 1 and 1 - (1 - threshold ** length) ** trees < recall:
+    while length > 1 and 1 - (1 - similarity ** length) ** trees < recall:
         length -= 1
     return length
 
@@ -89,58 +96,75 @@ def grams(text: str, n: int, known: WordHashes) -> np.ndarray:
 
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(20240229)
-    a = r.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, r.integers(0, 1 << 63, count, dtype=np.uint64)
+    a = r.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return a, r.integers(0, 1 << 32, count, dtype=np.uint32)
 
 
-def trie_keys(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, trees: int) -> np.ndarray:
-    """Per trie one 64-bit name of the prefix of minimum hashes."""
-    least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 512):
-        part = shingles[at:at + 512, None] * a[None, :] + b[None, :]
-        least = np.minimum(least, part.min(axis=0))
-    least = least.reshape(trees, -1)
-    key = np.zeros(trees, np.uint64)
-    for d in range(least.shape[1]):
-        key = (key + least[:, d]) * _MIX
-        key ^= key >> np.uint64(31)
-    return key.view(np.int64)
+def sequences(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, trees: int) -> list[bytes]:
+    """Per trie the sequence of minimum hashes, ``HASH_BYTES`` of each."""
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), 256):
+        part = short[at:at + 256, None] * a[None, :]
+        part += b[None, :]
+        np.minimum(least, part.min(axis=0), out=least)
+    # the minima are small numbers: mixed, so that the bytes kept tell them apart
+    kept = ((least.astype(np.uint64) + np.uint64(1)) * _MIX >> np.uint64(64 - 8 * HASH_BYTES)).astype(">u2").tobytes()
+    width = len(kept) // trees
+    return [kept[t * width:(t + 1) * width] for t in range(trees)]
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, trees: int = TREES,
-           depth: int | None = None) -> DataFrame:
-    """Per row: ``id``, ``node`` and ``keys`` (empty if the text has no word)."""
-    depth = depth or prefix_length(trees, LONGEST, THRESHOLD, RECALL)
+           longest: int = LONGEST) -> DataFrame:
+    """Per row: ``id``, ``node`` and ``keys``, a sequence per trie (none if the
+    text has no word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _permutations(trees * depth)
+        a, b = _permutations(trees * longest)
         known = WordHashes()
         for batch in batches:
             keys = []
             for t in batch.column(2):
                 g = grams(t.as_py(), words, known)
-                keys.append(trie_keys(g, a, b, trees) if len(g) else [])
+                keys.append(sequences(g, a, b, trees) if len(g) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.binary()))],
                 names=["id", "node", "keys"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("node"),
-                       text.alias("text")).mapInArrow(run, "id long, node binary, keys array<long>")
+                       text.alias("text")).mapInArrow(run, "id long, node binary, keys array<binary>")
 
 
-def cells(nodes: DataFrame) -> DataFrame:
-    """(``cell``, ``node``): which nodes have to be compared with each other.
-    ``nodes`` has ``node`` and ``keys``. A cell is named after a node of it."""
-    placed = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
-    runs = placed.groupBy("tree", "key").agg(F.min("node").alias("cell"), F.count(F.lit(1)).alias("n")) \
+def cells(nodes: DataFrame, depth: int, step: int = 0) -> DataFrame:
+    """(``cell``, ``node``): which nodes have to be compared with each other, as
+    they share a prefix of ``depth`` hashes in a trie. ``nodes`` has ``node`` and
+    ``keys``. A cell is named after the step and a node of it."""
+    prefix = F.substring("key", 1, HASH_BYTES * depth)
+    placed = nodes.select("node", F.posexplode("keys").alias("tree", "key")) \
+        .select("node", F.xxhash64("tree", prefix).alias("place"))
+    runs = placed.groupBy("place").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")) \
         .filter("n > 1").drop("n")
-    return placed.join(runs, ["tree", "key"]).select("cell", "node").distinct()
+    return placed.join(runs, "place").select(
+        F.concat(F.lit(bytes([step])), F.col("least")).alias("cell"), "node").distinct()
 
 
-def _near(sets: list[np.ndarray], left: int, cross: bool, threshold: float) -> np.ndarray:
+def changed(new: DataFrame, old: DataFrame) -> DataFrame:
+    """The rows of ``new`` (``cell``, ``node``) whose cell has not all the same
+    nodes as a cell of ``old`` of that name."""
+    def marks(cells_of: DataFrame) -> DataFrame:
+        h = F.xxhash64("node")
+        return cells_of.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
+                                            F.sum(F.shiftrightunsigned(h, 32)).alias("s")) \
+            .select("cell", F.expr("substring(cell, 2)").alias("name"), "n", "x", "s")
+    fresh = marks(new).join(marks(old).drop("cell"), ["name", "n", "x", "s"], "left_anti").select("cell")
+    return new.join(fresh, "cell", "left_semi")
+
+
+def _near(sets: list[np.ndarray], left: int, cross: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Boolean matrix of the pairs of sets whose Jaccard similarity reaches the
-    threshold; ``cross``: only between the first ``left`` sets and the rest."""
+    threshold, and the similarities; ``cross``: only between the first ``left``
+    sets and the rest."""
     sizes = np.array([len(s) for s in sets])
     if len(sets) == 2:
         both = np.array([[0, len(np.intersect1d(sets[0], sets[1], assume_unique=True))]])
@@ -169,7 +193,7 @@ def _near(sets: list[np.ndarray], left: int, cross: bool, threshold: float) -> n
     if cross:
         near[:left, :left] = False
         near[left:, left:] = False
-    return near
+    return near, both / np.maximum(total - both, 1)
 
 
 def _roots(near: np.ndarray) -> np.ndarray:
@@ -184,17 +208,17 @@ def _roots(near: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _unit(rows: list[tuple], threshold: float) -> tuple[list, list, list]:
+def _unit(rows: list[tuple], threshold: float) -> tuple[list, list, list, list]:
     """One unit of work. Rows: node, copies, cells of the node, grams, block,
     with cell and block pair as the unit's key in front."""
     cell, i, j = rows[0][:3]
     rows.sort(key=lambda r: (r[7], r[3]))
     left = sum(r[7] == i for r in rows)
     sets = [np.frombuffer(r[6], np.uint64) for r in rows]
-    near = _near(sets, left, i != j, threshold)
+    near, likeness = _near(sets, left, i != j, threshold)
     touched = np.flatnonzero(near.any(axis=1))
     if not len(touched):
-        return [], [], []
+        return [], [], [], []
     # a pair counts in the first cell that has both
     here = np.array([[c < cell for c in r[5]].count(True) for r in rows])
     first = near
@@ -211,14 +235,20 @@ def _unit(rows: list[tuple], threshold: float) -> tuple[list, list, list]:
     order = np.argsort(np.array([r[3] for r in rows], object), kind="stable")
     root = _roots(near[np.ix_(order, order)])
     lead = {int(order[k]): rows[int(order[root[k]])][3] for k in range(len(rows))}
-    return ([rows[k][3] for k in touched], [int(links[k]) for k in touched], [lead[int(k)] for k in touched])
+    least = float(likeness[near].min())
+    return ([rows[k][3] for k in touched], [int(links[k]) for k in touched], [lead[int(k)] for k in touched],
+            [least] * len(touched))
 
 
 def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-             words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """(``node``, ``links``, ``root``) for every unit that links a node."""
+             words: int = WORDS, threshold: float = THRESHOLD, step: int = 0) -> DataFrame:
+    """(``node``, ``links``, ``root``, ``least``) for every unit that links a
+    node; ``least`` is the smallest similarity that links in the unit. Only the
+    cells of ``step`` are compared; pairs of earlier ones have been counted."""
     spark = docs.sparkSession
-    of_node = members.groupBy("node").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
+    now = F.substring("cell", 1, 1) == F.lit(bytes([step]))
+    of_node = members.groupBy("node").agg(F.sort_array(F.collect_set("cell")).alias("cells"),
+                                          F.bool_or(now).alias("now")).filter("now").drop("now")
     wanted = landed(of_node.join(nodes.select("node", "id", "copies"), "node"), "candidates")
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.unhex(F.md5(text)).alias("node"), F.col(id_col).cast("long").alias("_id"), text.alias("text"))
@@ -238,7 +268,7 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     sets = texts.mapInArrow(shingle, "node binary, size long, grams binary") \
         .groupBy("node").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))
     full = landed(wanted.join(sets, "node").select("node", "copies", "cells", "size", "grams"), "grams")
-    placed = full.select("node", "size", F.explode("cells").alias("cell"))
+    placed = full.select("node", "size", F.explode("cells").alias("cell")).filter(now)
     # only cells beyond one block are looked up: at most one for each full block
     blocks = landed(placed.groupBy("cell").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
@@ -255,7 +285,7 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list, list, list] = ([], [], [], [])
 
         def settle() -> None:
             if len(held) > 1:
@@ -264,8 +294,8 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
 
         def batch_of() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
-                names=["node", "links", "root"])
+                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
+                 pa.array(out[3], pa.float64())], names=["node", "links", "root", "least"])
             for x in out:
                 x.clear()
             return made
@@ -281,7 +311,7 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
         settle()
         yield batch_of()
 
-    return units.mapInArrow(compare, "node binary, links long, root binary")
+    return units.mapInArrow(compare, "node binary, links long, root binary, least double")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -310,6 +340,24 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def linked(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(``node``, ``links``, ``root``): the forest's descent. Prefixes are
+    shortened until the least similar verified pair has the target recall."""
+    depth, step, members, found, least = LONGEST, 0, None, None, 1.0
+    while True:
+        new = cells(nodes, depth, step)
+        new = landed(new if members is None else changed(landed(new, "runs"), members), "cells")
+        members = new if members is None else members.union(new)
+        now = landed(verified(members, nodes, docs, id_col, text_col, step=step), "links")
+        found = now if found is None else found.union(now)
+        lowest = now.agg(F.min("least")).first()[0]
+        least = min(least, 1.0 if lowest is None else max(lowest, THRESHOLD))
+        shorter = prefix_length(TREES, depth, least, RECALL)
+        if shorter == depth:
+            return found.select("node", "links", "root")
+        depth, step = shorter, step + 1
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id``, ``node`` (MD5 of the text),
     ``class_id`` (smallest id of the class) and ``links`` (other rows whose
@@ -318,8 +366,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = landed(signed(docs, id_col, text_col), "signed")
     nodes = landed(rows.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
                                             F.first("keys").alias("keys")), "nodes")
-    members = landed(cells(nodes), "cells")
-    found = landed(verified(members, nodes, docs, id_col, text_col), "links")
+    found = linked(nodes, docs, id_col, text_col)
     labels = components(found.select("node", "root"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     of_node = nodes.select("node", "id", "copies").join(labels, "node", "left").join(links, "node", "left").select(

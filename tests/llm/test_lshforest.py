@@ -87,3 +87,32 @@ def test_stage_on_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
     assert left == {c for _, c, _ in brute([(r.doc_id, r.text) for r in docs.collect()])}
+
+
+def _variants(similar, count):
+    """Pairs of texts of 204 words whose similarity is near ``similar``: one run of words replaced."""
+    r = random.Random(9)
+    rows = []
+    for _ in range(count):
+        words = [f"w{r.randrange(10 ** 6)}" for _ in range(204)]
+        lost = round(200 * (1 - similar) / (1 + similar))
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:204 - lost] + [f"z{r.randrange(10 ** 6)}" for _ in range(lost)]))]
+    return rows
+
+
+@pytest.mark.parametrize("similar,depths", [(0.97, [9]), (0.803, [9, 7])])
+def test_prefix_is_shortened_as_far_as_the_verified_pairs_ask(spark, monkeypatch, similar, depths):
+    seen, cells = [], M.cells
+    monkeypatch.setattr(M, "cells", lambda nodes, depth, step=0: seen.append(depth) or cells(nodes, depth, step))
+    rows = _variants(similar, 60) + [(1000 + i, "one and the same text of some words here") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(M.classes(df)) == brute(rows)
+    assert seen == depths
+
+
+def test_a_cell_is_compared_again_only_where_it_grew(spark):
+    schema = "cell binary, node binary"
+    old = spark.createDataFrame([(b"\0a", b"a"), (b"\0a", b"b"), (b"\0c", b"c"), (b"\0c", b"d")], schema)
+    new = spark.createDataFrame([(b"\1a", b"a"), (b"\1a", b"b"), (b"\1c", b"c"), (b"\1c", b"d"), (b"\1c", b"e"),
+                                 (b"\1f", b"f"), (b"\1f", b"g")], schema)
+    assert {bytes(r.cell) for r in M.changed(new, old).collect()} == {b"\1c", b"\1f"}
