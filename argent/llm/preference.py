@@ -6,8 +6,11 @@ in each is its completion. A completion comes with a mask: the spans of its
 characters that the loss covers, which are the assistant turns' texts and end
 marks, never headers or other roles' turns.
 
-A turn renders as ``<|role|>\\ntext<|end|>\\n``. A pair's turns are ordered by
-turn number, then role and text; no turn is dropped. All is built-in
+A turn renders as ``<|role|>\\ntext<|end|>\\n``. No text can forge a marker: a
+``<|`` inside a text or role is written with a backslash between its two signs,
+one that has backslashes there already gets one more, and ``|>`` in a role
+likewise, so one backslash less gives the original back. A pair's turns are
+ordered by turn number, then role and text; no turn is dropped. All is built-in
 expressions over one row per pair; the unit gathered is one conversation.
 
 Defined results: a NULL role is ``unknown``, a NULL text empty, a NULL turn
@@ -29,11 +32,16 @@ END = "<|end|>\n"
 TRAINED = "assistant"
 
 
+def escaped(text: Column) -> Column:
+    """``text`` with a backslash more between ``<`` and ``|``."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
 def conversations_of(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """(``id``, ``turns``): each conversation's turns in order, as
-    ``array<struct<turn, role, text>>``."""
-    turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
-                    F.coalesce("text", F.lit("")).alias("text"))
+    ``array<struct<turn, role, text>>``, markers in them escaped."""
+    role = F.regexp_replace(escaped(F.coalesce("role", F.lit("unknown"))), r"\|(\\*)>", r"|\\$1>")
+    turn = F.struct(F.col("turn"), role.alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
     return turns.groupBy(F.col(id_col).alias("id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
 
@@ -107,9 +115,11 @@ def op8_preferences(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH t AS (
-  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i
-  FROM conversations),
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i
+  FROM (SELECT conv_id, turn,
+               regexp_replace(regexp_replace(coalesce(role, 'unknown'), '<(\\*)\|', '<\\\1|', 'g'), '\|(\\*)>', '|\\\1>', 'g') AS role,
+               regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g') AS text
+        FROM conversations)),
 a AS (
   SELECT conv_id, count(*) AS n, min(CASE WHEN role = 'assistant' THEN i END) AS first_answer,
          max(CASE WHEN role = 'assistant' THEN i END) AS last_answer FROM t GROUP BY 1),

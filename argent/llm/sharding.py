@@ -15,8 +15,9 @@ instead. Nothing but one bucket is ever in one task's memory.
 
 Defined results: a NULL text has no bytes; NULL ids are ids like others;
 repeated rows each get a slot; an empty table gives empty shards; other columns
-are carried along unread, whatever their names (names that begin with
-``_argent`` are reserved).
+are carried along unread. A column whose name is ``shard`` or ``slot`` in any
+case is written with underscores added until the name is free (names that begin
+with ``_argent`` are reserved).
 """
 
 from __future__ import annotations
@@ -42,12 +43,28 @@ def record_bytes(text: str):
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def free_names(columns: list[str], taken: list[str]) -> list[str]:
+    """``columns``, those among ``taken`` (in any case) with underscores added."""
+    used = {c.lower() for c in [*columns, *taken]}
+    out = []
+    for c in columns:
+        if c.lower() in taken:
+            while c.lower() in used:
+                c += "_"
+            used.add(c.lower())
+        out.append(c)
+    return out
+
+
 def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", text_col: str = "text",
                  seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Write ``docs`` shuffled into ``path/shard=<s>``; returns a frame that
     reads the written records (with ``shard`` and ``slot``)."""
     spark = docs.sparkSession
     ship(spark)
+    names = free_names(docs.columns, ["shard", "slot"])
+    id_col, text_col = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    docs = docs.toDF(*names)
     total = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(record_bytes(text_col)).alias("b")).first()
     rows, buckets = total["n"], max(BUCKETS_PER_SHARD * shards, -(-int(total["b"] or 0) // bucket_bytes))
     hashed = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))

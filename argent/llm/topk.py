@@ -14,6 +14,10 @@ bound is found from the most significant slice downward; every row whose lower
 bound is within the slack of it is a boundary row, whose score is computed
 exactly from its stored integers. So no row of the true top k is missed.
 
+Sums have as many slices as they need, and exact scores are computed in whole
+numbers of any length where 64 bits might not hold them. A component or score
+beyond +-(2^63 - 1) is held at that bound; rows are ranked by the score shown.
+
 Queries go to every block in groups of bounded size; a block returns at most k
 rows for a query, of which the k best over all blocks stay.
 
@@ -38,6 +42,8 @@ BLOCK_ROWS = 8192
 GROUP_QUERIES = 4096
 #: Low slices of a component that are left to the exact step.
 DROPPED = 2
+#: Bound of components and scores.
+MOST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -45,7 +51,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     v = F.col(vector_col).cast("array<double>")
     usable = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
     return vectors.filter(v.isNotNull() & (F.size(v) > 0) & usable).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(v, lambda c: F.floor(c * scale).cast("long")).alias("x"))
+        F.col(id_col).cast("long").alias("id"),
+        F.transform(v, lambda c: F.greatest(F.floor(c * scale).cast("long"), F.lit(-MOST))).alias("x"))
 
 
 def _bitmap(bits: np.ndarray) -> np.ndarray:
@@ -60,9 +67,9 @@ def index_block(key: tuple, rows: pa.Table) -> pa.Table:
     """One index row for a block: ids, integers, and the bitmaps."""
     x = np.array(rows.column("x").to_pylist(), np.int64).reshape(rows.num_rows, -1)
     low = x.min(axis=0)
-    digits = max(1, int((x.max(axis=0) - low).max()).bit_length())
-    above = (x - low).T
-    slices = np.stack([_bitmap((above >> b) & 1 == 1) for b in range(digits)], axis=1)
+    above = (x.view(np.uint64) - low.view(np.uint64)).T  # right modulo 2^64, whatever the range
+    digits = max(1, int(above.max()).bit_length())
+    slices = np.stack([_bitmap((above >> np.uint64(b)) & np.uint64(1) == 1) for b in range(digits)], axis=1)
     return pa.table({
         "width": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
         "n": pa.array([rows.num_rows], pa.int32()), "digits": pa.array([digits], pa.int32()),
@@ -128,6 +135,14 @@ def at_least(slices: list, live: np.ndarray, value: int) -> np.ndarray:
     return above | equal
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of the rows with ``q``, held at the bound of 64 bits."""
+    largest = max(abs(int(x.min())), int(x.max())) if x.size else 0
+    if largest * sum(map(abs, q.tolist())) <= MOST:
+        return x @ q
+    return np.array([max(-MOST, min(MOST, s)) for s in (x.astype(object) @ q.astype(object)).tolist()], np.int64)
+
+
 def search_block(k: int):
     def run(key: tuple, index: pa.Table, queries: pa.Table) -> pa.Table:
         found: tuple[list, list, list] = ([], [], [])
@@ -161,10 +176,15 @@ def search_block(k: int):
                     for b in range(first, digits) if len(dims) else ():
                         by_weight.setdefault(j + b, []).append(both[sign[dims], dims, b])
                 sums = add_slices({w: np.concatenate(m) for w, m in by_weight.items()})
-                slack = int(size.sum()) * ((1 << first) - 1)
-                near = at_least(sums, live, kth_value(sums, live, min(k, rows)) - slack) if sums else live
+                slack = sum(size.tolist()) * ((1 << first) - 1)
+                # a score is the whole sum less this; those held at a bound are ties
+                shift = sum(s * ((1 << digits) - 1) if n else 0 for s, n in zip(size.tolist(), sign)) \
+                    - sum(a * b for a, b in zip(low.tolist(), qx.tolist()))
+                kth = kth_value(sums, live, min(k, rows)) if sums else 0
+                kth = 0 if kth - shift <= -MOST else min(kth, MOST + shift)
+                near = at_least(sums, live, kth - slack) if sums else live
                 at = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little", count=n))
-                score = x[at] @ qx
+                score = exact_scores(x[at], qx)
                 best = np.lexsort((order[at], -score))[:k]
                 for p in best.tolist():
                     found[0].append(q), found[1].append(ids[at[p]]), found[2].append(int(score[p]))

@@ -40,3 +40,10 @@ def test_edge_rows_hot_key_and_empty(spark, docs, no_docs):
     got = M.write_shards(hot, scratch_path(spark, "t"), 4)
     assert {r["count"] for r in got.groupBy("shard").count().collect()} == {750}
     assert got.select("shard", "slot").distinct().count() == 3000
+
+
+def test_columns_named_like_ours(spark, docs):
+    clash = docs.selectExpr("doc_id AS slot", "text AS Shard", "lang AS shard_", "source")
+    out = M.write_shards(clash, scratch_path(spark, "t"), 3, id_col="slot", text_col="Shard")
+    assert out.columns == ["slot_", "Shard__", "shard_", "source", "slot", "shard"]
+    assert out.select("slot_", "Shard__", "shard_", "source").exceptAll(clash).count() == 0 and out.count() == docs.count()

@@ -56,3 +56,20 @@ def test_bitmap_sum_is_exact():
     live = M._bitmap(np.ones(200, bool))
     for k in (1, 5, 200):
         assert M.kth_value(sums, live, k) == np.sort(total)[-k]
+
+
+def test_huge_components_and_scores(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_ROWS", 40)
+    r = np.random.default_rng(8)
+    sizes = [1.0, 1e6, 1e9, 1e15, 1e17, 1e30, 1e306]
+    rows = [(i, [float(c) * sizes[int(r.integers(0, 7))] for c in r.normal(0, 1, 4)]) for i in range(150)]
+    rows += [(200 + i, [1e18 * (-1) ** i] * 4) for i in range(20)] + [(300, [0.0] * 4), (301, [-1e300] * 4), (302, [0.5, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    hold = lambda s: max(-M.MOST, min(M.MOST, s))
+    x = {i: [hold(math.floor(c * 256)) if abs(c) < 1e300 else int(math.copysign(M.MOST, c)) for c in v] for i, v in rows}
+    queries = [0, 25, 50, 75, 100, 125, 200, 201, 300, 301, 302]
+    want = []
+    for q in queries:
+        best = sorted((-hold(sum(a * b for a, b in zip(x[q], y))), i) for i, y in x.items() if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got(M.top_k(df, df.filter(df.vec_id.isin(queries)), 5)) == sorted(want, key=repr)
