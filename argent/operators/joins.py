@@ -7,7 +7,9 @@ the key and a second value that spreads what would pile up in one task: fact row
 with a NULL key, which never match, and the rows of a hot key, found by a
 mergeable frequency sketch (:func:`hot_keys`), whose dimension rows are
 copied once per spread value. Other keys are not copied; rows that are equal
-in every column stay together.
+in every column stay together. A fact stored in buckets of the key
+(:class:`argent.sources.layers.CatalogStore`) is joined where it lies
+(``spread=False``): only the dimension moves.
 """
 
 from __future__ import annotations
@@ -93,36 +95,37 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left",
-                broadcast: bool | None = None, split_hot: bool = True,
+                broadcast: bool | None = None, split_hot: bool = True, spread: bool = True,
                 max_rows: int = BROADCAST_MAX_ROWS,
                 max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join a lookup ``dim`` onto ``fact`` by one key column named ``on``.
 
     ``broadcast=None`` measures ``dim`` and broadcasts it only within
     ``max_rows``/``max_bytes``; ``True``/``False`` force the choice. Without
-    ``split_hot`` a hot key is left to AQE's skew-join split. The
+    ``split_hot`` a hot key is left to AQE's skew-join split. ``spread=False``
+    beyond the bound joins on the key alone, for a fact stored in buckets of it. The
     output columns are those of ``fact.join(dim, on, how)``: key first.
     """
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_rows, max_bytes)
     if broadcast:
         return fact.join(F.broadcast(dim), on, how)
-    if how not in ("left", "left_outer", "leftouter", "inner"):
+    if not spread or how not in ("left", "left_outer", "leftouter", "inner"):
         return fact.join(dim, on, how)
     # one pass over the fact: the spread value of a NULL key is one the
     # dimension never has, that of a hot key is one of its copies
     key = F.col(f"`{on}`")
     values = [F.col(f"`{f.name}`") for f in fact.schema.fields if _hashable(f.dataType)]
     drawn = F.xxhash64(*values)
-    spread = F.when(key.isNull(), 1 + F.pmod(drawn, F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+    value = F.when(key.isNull(), 1 + F.pmod(drawn, F.lit(NULL_SPREAD))).otherwise(F.lit(0))
     hot = hot_keys(fact, on) if split_hot else []
     if not hot:
-        return fact.withColumn(_SPREAD, spread.cast("int")).join(
+        return fact.withColumn(_SPREAD, value.cast("int")).join(
             dim.withColumn(_SPREAD, F.lit(0)), [on, _SPREAD], how).drop(_SPREAD)
     copies = F.broadcast(fact.sparkSession.createDataFrame(  # at most HOT_MOST rows
         hot, T.StructType([fact.schema[on], T.StructField(_COPIES, T.IntegerType())])))
-    spread = F.when(F.col(_COPIES).isNotNull(), F.pmod(drawn, F.col(_COPIES))).otherwise(spread)
-    spread_fact = fact.join(copies, on, "left").withColumn(_SPREAD, spread.cast("int")).drop(_COPIES)
+    value = F.when(F.col(_COPIES).isNotNull(), F.pmod(drawn, F.col(_COPIES))).otherwise(value)
+    spread_fact = fact.join(copies, on, "left").withColumn(_SPREAD, value.cast("int")).drop(_COPIES)
     each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1))
     spread_dim = dim.join(copies, on, "left").withColumn(_SPREAD, each).drop(_COPIES)
     return spread_fact.join(spread_dim, [on, _SPREAD], how).drop(_SPREAD)
@@ -143,6 +146,18 @@ def hot_keys(df: DataFrame, on: str) -> list[tuple]:
             if x["count"] * min(partitions, HOT_MOST) > row["n"]]
 
 
+def hottest_share(df: DataFrame, on: str) -> float:
+    """Share of the rows that the most frequent value of ``on`` holds, NULL
+    counted as a value (0 for no rows); one pass with the sketch of :func:`hot_keys`."""
+    if not isinstance(df.schema[on].dataType, _SKETCHED):
+        raise ValueError(f"{on}: the frequencies of {df.schema[on].dataType.simpleString()} are not measured")
+    top = F.expr(f"approx_top_k(k, 1, {HOT_TRACKED}) FILTER (WHERE k IS NOT NULL)")
+    row = df.select(F.col(f"`{on}`").alias("k")).agg(
+        top.alias("top"), F.count("k").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    most = max([x["count"] for x in row["top"] or ()] + [row["rows"] - row["n"]])
+    return most / row["rows"] if row["rows"] else 0.0
+
+
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys`` (O22): each row at most
     once, whatever the multiplicity in ``keys``."""

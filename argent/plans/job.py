@@ -70,6 +70,15 @@ def located(names: dict[str, dict] | None, table: str, layer: str, folder: str |
     return own.get("layer", layer), own.get("name", table), own.get("folder", folder)
 
 
+#: Columns by which a ``CatalogStore`` may keep tables in buckets (with one number for all): accounts meet
+#: the category hierarchy by category, sales meet their details by id, none of them by an exchange.
+BUCKET_COLUMNS = {
+    f"{SILVER}.accounts_payable": "categoria_principal_id",
+    f"{SILVER}.accounts_receivable": "categoria_principal_id",
+    f"{BRONZE}.sales": "id",
+    f"{BRONZE}.sales_details": "sales_id",
+}
+
 #: tables built from other Silver tables (read back after they are written)
 NEEDS = {
     "combined_accounts": ("accounts_payable", "accounts_receivable", "categories"),
@@ -97,6 +106,13 @@ def builders(store: LayerStore, run_ts: str, names: dict[str, dict] | None = Non
         layer, table, folder = located(names, name, SILVER)
         return store.read(layer, table, folder=folder)
 
+    def by_category() -> bool:
+        """The store keeps both accounts tables in equal buckets of the category."""
+        if not hasattr(store, "bucketed"):
+            return False
+        kept = {store.bucketed(*located(names, n, SILVER)[:2]) for n in ("accounts_payable", "accounts_receivable")}
+        return len(kept) == 1 and (next(iter(kept)) or ("",))[0] == "categoria_principal_id"
+
     return {
         "users": lambda: P.users(bronze("users")),
         "spaces": lambda: P.spaces(bronze("spaces")),
@@ -106,7 +122,7 @@ def builders(store: LayerStore, run_ts: str, names: dict[str, dict] | None = Non
         "categories": lambda: P.categories(bronze("categories"), run_ts),
         "customers": lambda: P.customers(bronze("contracts"), run_ts),
         "combined_accounts": lambda: P.combined_accounts(
-            silver("accounts_payable"), silver("accounts_receivable"), silver("categories")),
+            silver("accounts_payable"), silver("accounts_receivable"), silver("categories"), bucketed=by_category()),
         "dre_items": lambda: P.dre_items(bronze("dre_categories"), run_ts),
         "dre_subitems": lambda: P.dre_subitems(bronze("dre_categories"), run_ts),
         "dre_financial_categories": lambda: P.dre_financial_categories(

@@ -607,6 +607,8 @@ FROM r LEFT JOIN d ON d.id = r.id WHERE rn = 1
 SNAPSHOT_RUN = "\nUNION ALL\n".join(_digest(name, _SILVER_COUNTS[name]) for name in (
     "accounts_payable", "accounts_receivable", "categories", "combined_accounts"))
 
+BUCKETED_RUN = SNAPSHOT_RUN + "\nUNION ALL\n" + _digest("sales", _SILVER_COUNTS["sales"])
+
 LANDING_NESTED = "\nUNION ALL\n".join(
     [_digest(name, _SILVER_COUNTS[name]) for name in ("time_entries", "installments", "installment_payments")]
     + ["SELECT 'rejects' AS table_name, 2 * count(*) AS row_count, CAST(0 AS BIGINT) AS digest FROM customer"])
@@ -652,6 +654,7 @@ ORACLES: dict[str, str] = {
     "bronze_mixed_files": BRONZE_DRIFT,
     "landing_nested": LANDING_NESTED,
     "snapshot_run": SNAPSHOT_RUN,
+    "bucketed_run": BUCKETED_RUN,
     "catalog_roundtrip": USERS,
     "sales_hot_key": SALES_HOT_KEY,
     "template_run": HIGH_VALUE_DEALS,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from argent.functions.columns import non_empty, safe_cast
 from argent.operators.dedup import keep_one
 from argent.operators.filters import all_of, greater_than, is_true, not_null
-from argent.operators.joins import lookup_join, rows_referenced_by
+from argent.operators.joins import fits_broadcast, lookup_join, rows_referenced_by
 from argent.operators.nested import explode_rows
 from argent.operators.sets import tagged, union_by_name
 from argent.plans import silver as C
@@ -99,7 +99,7 @@ def parent_categories(bronze_categories: DataFrame) -> DataFrame:
 def combined_accounts(payable: DataFrame, receivable: DataFrame,
                       categories_silver: DataFrame,
                       parents: DataFrame | None = None,
-                      broadcast: bool | None = None) -> DataFrame:
+                      broadcast: bool | None = None, bucketed: bool = False) -> DataFrame:
     """Payables (tipo D) and receivables (tipo R) with the parent
     category id and name of each account's category.
 
@@ -108,10 +108,11 @@ def combined_accounts(payable: DataFrame, receivable: DataFrame,
     twice. Parent names come from ``categories_silver`` (P6): a parent then
     has one name, the one of its P6 row. Passing the Bronze parent rows of P8
     as ``parents`` instead reproduces the original fan-out on duplicate
-    parents.
+    parents. ``bucketed``: both accounts tables are stored in equal buckets of the
+    category. A hierarchy too large to broadcast is then brought to each, and what
+    is united has its parents already; neither accounts table moves.
     """
-    accounts = union_by_name([tagged(payable, "tipo", "D"), tagged(receivable, "tipo", "R")],
-                             allow_missing=True)
+    sides = [tagged(payable, "tipo", "D"), tagged(receivable, "tipo", "R")]
     child = categories_silver.select(
         F.col("id").cast("string").alias("categoria_principal_id"),
         F.col("categoria_pai").cast("string").alias("categoria_pai_id"))
@@ -121,7 +122,12 @@ def combined_accounts(payable: DataFrame, receivable: DataFrame,
     # Each side is measured by itself: the hierarchy repeats a parent's name on
     # every child, so a small categories table doesn't bound it.
     hierarchy = lookup_join(child, parent, "categoria_pai_id", "left", broadcast)
-    out = lookup_join(accounts, hierarchy, "categoria_principal_id", "left", broadcast)
+    if broadcast is None:
+        broadcast = fits_broadcast(hierarchy)
+    if not bucketed:
+        sides = [union_by_name(sides, allow_missing=True)]
+    out = union_by_name([lookup_join(side, hierarchy, "categoria_principal_id", "left", broadcast, spread=not bucketed)
+                         for side in sides], allow_missing=True)
     return out.select(*C.COMBINED_ACCOUNTS.names)
 
 

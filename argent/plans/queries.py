@@ -528,3 +528,24 @@ def catalog_roundtrip(spark, sf_dir):
     store.write(users, silver, "users", folder="time_tracking")
     store.write(store.read(silver, "users"), silver, "users")
     return store.publish(silver, "users", gold, folder="reports")
+
+
+@query("bucketed_run")
+def bucketed_run(spark, sf_dir):
+    """O2, O23, O25, P9, P18 over catalog tables kept in buckets of their join keys:
+    accounts meet the category hierarchy, and sales their details, where they are stored."""
+    t = tables(spark, sf_dir)
+    layers = {layer: f"argent_{layer.lower()}_{uuid.uuid4().hex}" for layer in (J.BRONZE, J.SILVER)}
+    for layer in layers.values():
+        spark.sql(f"CREATE DATABASE `{layer}` LOCATION '{run_folder(spark)}'")
+    place = lambda name: f"{layers[name.split('.')[0]]}.{name.split('.')[1]}"
+    store = CatalogStore(spark, buckets={place(name): (column, 16) for name, column in J.BUCKET_COLUMNS.items()})
+    bronze = {"payables": t.payables(), "receivables": t.receivables(), "categories": t.categories(),
+              "sales": t.sales(), "sales_details": t.sales_details()}
+    for name, df in bronze.items():
+        store.write(df, layers[J.BRONZE], name)
+    names = {f"bronze.{name}": {"layer": layers[J.BRONZE], "name": name} for name in bronze}
+    names |= {name: {"layer": layers[J.SILVER]} for name in J.SILVER_TABLES}
+    J.run(spark, store, RUN_TS, tables=["combined_accounts", "sales"], names=names)
+    return union_by_name([digest(store.read(layers[J.SILVER], name), name) for name in (
+        "accounts_payable", "accounts_receivable", "categories", "combined_accounts", "sales")])

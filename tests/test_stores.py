@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from argent.plans import bronze as B
 from argent.plans import job as J
 from argent.plans import pipelines as P
 from argent.plans.queries import land_driver_bronze
@@ -148,6 +149,71 @@ def test_failed_catalog_refresh_leaves_the_old_rows(spark):
     assert not [n for n in names if "__new_" in n or "__old_" in n]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark):
+    t = DriverTables(spark, SF_SMALL)
+    store = CatalogStore(spark, buckets={name: (column, 16) for name, column in J.BUCKET_COLUMNS.items()})
+    plain = P.sales(t.sales(), t.sales_details(), RUN_TS)
+    for name, df in {"sales": t.sales(), "sales_details": t.sales_details()}.items():
+        store.write(df, "Bronze", name)
+    stored = P.sales(store.read("Bronze", "sales", B.SALES), store.read("Bronze", "sales_details", B.SALES_DETAILS), RUN_TS)
+    assert "Exchange" not in plan_of(stored) and rows(stored) == rows(plain)
+    payable, receivable = P.accounts_payable(t.payables(), RUN_TS), P.accounts_receivable(t.receivables(), RUN_TS)
+    categories = P.categories(t.categories(), RUN_TS)
+    for name, df in {"accounts_payable": payable, "accounts_receivable": receivable, "categories": categories}.items():
+        store.write(df, "Silver", name)
+    read = lambda n: store.read("Silver", n)
+    joined = P.combined_accounts(read("accounts_payable"), read("accounts_receivable"), read("categories"),
+                                 broadcast=False, bucketed=True)
+    lines = plan_of(joined).splitlines()
+    for name in ("accounts_payable", "accounts_receivable"):                      # no exchange between a scan and the union
+        at = scan = next(k for k, line in enumerate(lines) if "FileScan" in line and f".{name}[" in line)
+        assert "Bucketed: true" in lines[scan]
+        while "Union" not in lines[at]:
+            depth = lines[at].index("- ")
+            at = next(k for k in range(at - 1, -1, -1) if lines[k].index("- ") < depth)
+            assert "Exchange" not in lines[at]
+    assert rows(joined) == rows(P.combined_accounts(payable, receivable, categories))
+    built = J.builders(store, RUN_TS)["combined_accounts"]()
+    assert rows(built) == rows(joined)
+
+
+def test_buckets_of_a_refresh_an_append_and_a_hot_key(spark):
+    store = CatalogStore(spark, buckets={"Silver.argent_buckets": ("k", 8)})
+    spread = spark.range(800).selectExpr("id", "id % 80 AS k")
+    write = lambda df, **how: store.write(df, "Silver", "argent_buckets", **how)
+    read = lambda: store.read("Silver", "argent_buckets")
+    grouped = lambda: plan_of(read().groupBy("k").count())
+    write(spread)
+    assert store.bucketed("Silver", "argent_buckets") == ("k", 8) and "Exchange" not in grouped()
+    write(spread.where("id < 400"))                                               # the same buckets elsewhere
+    write(spread.where("id >= 400"), mode="append")
+    assert "Exchange" not in grouped() and rows(read()) == rows(spread)
+    for hot in (F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("k")), F.when(F.col("id") % 3 != 0, F.col("k"))):
+        skewed = spread.withColumn("k", hot.cast("long"))
+        write(skewed)                                                             # a third on one key, or on none
+        assert store.bucketed("Silver", "argent_buckets") is None and "Exchange" in grouped()
+        assert rows(read()) == rows(skewed)
+    write(read().where("k < 40"))                                                 # from itself, in buckets again
+    assert store.bucketed("Silver", "argent_buckets") == ("k", 8)
+    assert rows(read()) == rows(skewed.where("k < 40"))
+    write(spread.where("false"))
+    assert read().count() == 0 and store.bucketed("Silver", "argent_buckets") == ("k", 8)
+    write(spread)
+    CatalogStore(spark).write(spread.where("id < 10"), "Silver", "argent_buckets")   # a store that asks for none
+    assert store.bucketed("Silver", "argent_buckets") is None and read().where("k = 3").count() == 1
+    with pytest.raises(ValueError, match="not measured"):
+        CatalogStore(spark, buckets={"Silver.argent_buckets": ("k", 8)}).write(
+            spark.range(3).selectExpr("id", "array(id) AS k"), "Silver", "argent_buckets")
+    with pytest.raises(Exception, match="stop"):
+        write(failing(spark).selectExpr("id", "id AS k"))
+    assert read().count() == 10
+    assert not [r.tableName for r in spark.sql("SHOW TABLES IN silver").collect() if "__new_" in r.tableName]
+
+
 # ---------------------------------------------------------- drifted files
 
 def test_files_of_differing_types_are_read_by_name(spark, tmp_path):
