@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ def brute(rows):
     return out
 
 
+def clauses(t):
+    pieces = [c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line)]
+    return collections.Counter(w for c in pieces for w in ([c] if len(c) <= M.LONGEST else re.findall(M.WINDOW, c)))
+
+
 def test_edited_texts_match_brute_force(spark, sf, docs, no_docs):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     out = M.op1_fingerprints(spark, sf).collect()
@@ -52,9 +58,6 @@ def test_equal_texts_and_likeness(spark, sf):
     assert len({next(iter(s)) for s in by_text.values()}) == len(by_text)
     ids = sorted(texts, reverse=True)
 
-    def clauses(t):
-        return collections.Counter(c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line))
-
     errors = []
     for i, k in zip(ids, ids[1:]):
         t, h = texts[i], len(texts[i]) // 2
@@ -65,9 +68,6 @@ def test_equal_texts_and_likeness(spark, sf):
 
 
 def test_repeated_clauses_count_once_each(spark):
-    def clauses(t):
-        return collections.Counter(c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line))
-
     pairs = []
     for k in range(60):  # each clause 6 to 35 times, half of the text kept
         kept, old, new = ([f"{w} {k} {i}." for i in range(12)] for w in ("kept", "old", "new"))
@@ -85,9 +85,6 @@ def test_repeated_clauses_count_once_each(spark):
 def test_documents_with_repeated_clauses(spark):
     sf = "/root/testdata/sf0.1"
 
-    def clauses(t):
-        return collections.Counter(c for line in t.split("\n") for c in re.split(M.CLAUSE_END, line))
-
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     out = {r.doc_id: r.near_edited for r in M.op1_fingerprints(spark, sf).collect()}
     ids = sorted(texts, reverse=True)
@@ -101,6 +98,32 @@ def test_documents_with_repeated_clauses(spark):
     assert checked > 100 and max(errors) < 0.3
 
 
+def test_texts_without_ascii_marks(spark):
+    """Half kept of: plain words, Chinese with and without marks, one long token."""
+    draw = random.Random(3)
+    words = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9))) for _ in range(n))
+    han = lambda n, mark: "".join(chr(0x4E00 + draw.randrange(3000)) + (mark if k % 9 == 8 else "") for k in range(n))
+    makers = {"words": lambda: words(400), "han": lambda: han(1800, ""), "marked": lambda: han(1800, "\uFF0C"),
+              "token": lambda: words(600).replace(" ", "")}
+    pairs = [(name, k, a, a[:len(a) // 2] + b[len(b) // 2:]) for name, make in makers.items() for k in range(12)
+             for a, b in [(make(), make())]]
+    df = spark.createDataFrame(pairs, "name string, k int, a string, b string")
+    fps = M.fingerprint(df, ["name", "k"], "a").withColumnRenamed("fingerprint", "x") \
+        .join(M.fingerprint(df, ["name", "k"], "b").withColumnRenamed("fingerprint", "y"), ["name", "k"])
+    got = {(r.name, r.k): r.s for r in fps.select("name", "k", M.likeness(F.col("x"), F.col("y")).alias("s")).collect()}
+    for name, k, a, b in pairs:
+        x, y = clauses(a), clauses(b)
+        exact = sum((x & y).values()) / sum((x | y).values())
+        assert abs(got[name, k] - exact) < 0.2 and 0.15 < got[name, k] < 0.6, (name, got[name, k], exact)
+
+
+def test_windows_meet_again_after_an_insertion(spark):
+    draw = random.Random(5)
+    text = " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9))) for _ in range(600))
+    x, y = clauses(text), clauses("put before " + text)
+    assert sum((x & y).values()) / sum((x | y).values()) > 0.6
+
+
 def test_one_very_long_text(spark):
     n = 240_000  # clauses, all different; half of them kept, nothing added
     a = "\n".join(f"clause {i}" for i in range(n))
