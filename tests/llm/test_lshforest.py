@@ -1,4 +1,5 @@
 import collections
+import math
 import random
 
 import pytest
@@ -39,6 +40,56 @@ def brute(rows):
     return sorted(((rows[a][0], smallest[find(a)], links[a]) for a in range(n)), key=repr)
 
 
+def exact_pairs(texts, threshold):
+    """All pairs of different texts of at least ``threshold``, by exact prefix filtering: with grams in one
+    order, rarest first, the first len - ceil(threshold * len) + 1 of each of two near sets share a gram."""
+    sets = [shingles(t) for t in texts]
+    counts = collections.Counter(g for x in sets for g in x)
+    held, out = collections.defaultdict(list), {}
+    for a, x in enumerate(sets):
+        met = set()
+        for g in sorted(x, key=lambda g: (counts[g], g))[:len(x) - math.ceil(threshold * len(x) - 1e-9) + 1]:
+            met.update(held[g])
+            held[g].append(a)
+        for b in met:
+            shared = len(x & sets[b])
+            if shared >= threshold * (len(x) + len(sets[b]) - shared):
+                out[b, a] = shared / (len(x) + len(sets[b]) - shared)
+    return out
+
+
+def test_classes_and_links_against_an_exact_join(spark):
+    """10,000 documents: recall of the links, and no link too many."""
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()]
+    ids = collections.defaultdict(list)
+    for i, t in rows:
+        ids[t].append(i)
+    texts = sorted(ids)
+    pairs = exact_pairs(texts, M.THRESHOLD)
+    links = {t: len(ids[t]) - 1 for t in texts}
+    parent = {t: t for t in texts}
+
+    def find(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    for a, b in pairs:
+        x, y = texts[a], texts[b]
+        links[x], links[y] = links[x] + len(ids[y]), links[y] + len(ids[x])
+        parent[find(x)] = find(y)
+    smallest = collections.defaultdict(list)
+    for t in texts:
+        smallest[find(t)] += ids[t]
+    want = {i: (min(smallest[find(t)]), links[t]) for i, t in rows}
+    out = {r.doc_id: (r.class_id, r.n_links) for r in M.op9_ngram_jaccard(spark, "/root/testdata/sf0.1").collect()}
+    found, there = sum(n for _, n in out.values()), sum(n for _, n in want.values())
+    print(f"documents {len(rows)}, pairs of different texts {len(pairs)}, links {found // 2} of {there // 2}, classes that differ "
+          f"{sum(out[i][0] != want[i][0] for i in want)}, least similar pair {min(pairs.values()):.3f}")
+    assert pairs and out.keys() == want.keys()
+    assert all(out[i][1] <= want[i][1] for i in want) and found >= 0.999 * there
+
+
 def got(df):
     return sorted(((r.id, r.class_id, r.links) for r in df.collect()), key=repr)
 
