@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import ship, table
+from argent.llm.common import ship, table, tidy
 
 #: Distinct pretokens a task remembers before it starts anew.
 REMEMBERED = 200_000
@@ -231,6 +231,7 @@ def tokenized(df: DataFrame, text: str, keep: list[str], vocabulary_json: str, p
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary_json)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # what a task has met goes with it: a worker runs tasks of many stages
         encoder = Encoder(_vocabulary(shared.value, pattern))

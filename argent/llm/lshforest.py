@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import boxed, landed, scratch_path, ship, table
+from argent.llm.common import boxed, landed, scratch_path, ship, table, tidy
 from argent.operators.joins import fits_broadcast
 
 WORDS = 5
@@ -119,6 +119,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, tree
     """Per row: ``id``, ``node`` and ``keys``, a sequence per trie (none if the
     text has no word)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _permutations(trees * longest)
         known = WordHashes()
@@ -257,6 +258,7 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
         keys = F.broadcast(keys)
     texts = texts.join(keys, "node").filter(F.col("_id").eqNullSafe(F.col("_first"))).select("node", "text")
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
@@ -283,6 +285,7 @@ def verified(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
         .repartition(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), "cell", "i", "j") \
         .sortWithinPartitions("cell", "i", "j")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         out: tuple[list, list, list, list] = ([], [], [], [])

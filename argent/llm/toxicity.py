@@ -36,7 +36,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import ship, table
+from argent.llm.common import ship, table, tidy
 
 #: Bounds of the labelled sample that the model is fitted on.
 SAMPLE_ROWS = 6000
@@ -269,6 +269,7 @@ def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str], only_c
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         words = _Scores(m.weights)  # goes with the task: a worker runs tasks of many stages

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from argent.llm import common
 from argent.llm.lshforest import one_of_each
 from argent.llm.mixing import mixed, repeated
 from argent.llm.toxicity import op4_toxicity
@@ -58,3 +59,15 @@ def test_run_is_its_stages(spark, sf):
     final = P.run(spark, sf)
     assert final.columns == ["doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(map(repr, final.collect())) == sorted(map(repr, P.encode(spark, mixed_rows, sf).collect()))
+
+
+def test_a_task_gives_back_what_it_held(monkeypatch):
+    """At its end, and where its rows are no longer wanted."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    run = common.tidy(lambda batches: (b + 1 for b in batches))
+    assert list(run(iter([1, 2]))) == [2, 3] and len(given) == 1
+    some = run(iter([1, 2]))
+    assert next(some) == 2 and len(given) == 1
+    some.close()
+    assert len(given) == 2
