@@ -407,3 +407,19 @@ def test_only_one_machine_gets_a_folder_of_its_own(master, fine):
     else:
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(fake)
+
+
+def test_line_groups_carry_only_what_is_asked_for(spark, tmp_path):
+    lines = [(1, k % 3, k, 10 + k, 5 + k, float(k), 100.0 * k, -0.01 * k, 0.02 * k, f, s, f"2020-01-0{k + 1}")
+             for k, (f, s) in enumerate([("R", "F"), (None, "O"), ("A", None), ("R", "F"), ("A", "F"), (None, None)])]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_x long, l_partkey long, l_suppkey long, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                          "l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    own = DriverTables(spark, str(tmp_path))
+    whole, some = own.order_groups(), own.order_groups(("n", "p_min"))
+    want = [{"flag": g.flag, "status": g.status, "n": g.n, "p_min": g.p_min} for g in whole.first().groups]
+    assert [g.asDict() for g in some.first().groups] == want
+    assert [(g["flag"], g["status"], g["n"]) for g in want] == [
+        (None, None, 1), (None, "O", 1), ("A", None, 1), ("A", "F", 1), ("R", "F", 2)]
+    for shape in (DriverTables(spark, SF_SMALL).dre_categories(),):
+        assert "l_extendedprice" not in shape._jdf.queryExecution().executedPlan().toString()
