@@ -29,6 +29,9 @@ DECIMALS_ALONE = rf"\A{_STRIPPED}[+-]?[.]"
 SHORT_NUMBER = {T.IntegerType: r"\A[+-]?[0-9]{1,9}(?:[.][0-9]{0,5})?\z",
                 T.LongType: r"\A[+-]?(?:[0-9]{1,15}|[0-9]{1,9}[.][0-9]{0,5})\z"}
 
+# Text that the permissive cast takes for a boolean.
+BOOLEAN_TEXT = rf"\A{_STRIPPED}(?i:t|true|y|yes|1|f|false|n|no|0){_STRIPPED}\z"
+
 _TYPE_NAMES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -89,6 +92,9 @@ def safe_cast(c: ColumnOrName, target: str | T.DataType,
     if isinstance(target_type, T.StringType):
         # Every type has a text form; a plain cast cannot fail.
         return col.cast(target_type)
+    if isinstance(target_type, T.BooleanType) and isinstance(source, T.StringType):
+        # other text would cost a thrown exception a value
+        return F.when(col.rlike(BOOLEAN_TEXT), col.try_cast(target_type))
     return col.try_cast(target_type)
 
 

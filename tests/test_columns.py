@@ -95,3 +95,14 @@ def test_complex_text_forms(spark):
     spark_text, json_text = df.select(C.complex_text("a"), C.complex_text("a", as_json=True)).first()
     assert spark_text == "[{1, x}, null]"
     assert json_text == '[{"n":1,"s":"x"},null]'
+
+
+def test_text_to_boolean_is_the_cast_without_its_exceptions(spark):
+    values = ["t", "TRUE", " yes\t", "\x00Y\x7f", "1", "f", "False", "n", "NO\n", "0", "maybe", "", " ", "10", "tr ue",
+              "true ", " true", "İ", "yeſ", "01", "+1", "on", None]
+    df = one_col(spark, values)
+    checked = C.safe_cast("v", "boolean", T.StringType())
+    got = df.select(checked.alias("a"), F.col("v").try_cast("boolean").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+    # text that is no boolean never reaches the cast
+    assert "RLIKE" in df.select(checked)._jdf.queryExecution().optimizedPlan().toString()
