@@ -464,10 +464,10 @@ def bronze_mixed_files(spark, sf_dir):
     store = LayerStore(spark, run_folder(spark))
     for name, df in {"sales": t.sales(), "sales_details": t.sales_details(), "categories": t.categories(),
                      "time_entries": t.time_entries()}.items():
-        some = F.pmod(F.xxhash64(F.to_json(F.struct("*"))), F.lit(2)) == 0
-        df = materialize(df)
-        store.write(drifted(df.where(some)), J.BRONZE, name)
-        store.write(df.where(~some), J.BRONZE, name, mode="append")
+        # the draw is made once and kept beside the rows
+        drawn = materialize(df.select("*", (F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0).alias("argent_some")))
+        store.write(drifted(drawn.where("argent_some").drop("argent_some")), J.BRONZE, name)
+        store.write(drawn.where("NOT argent_some").drop("argent_some"), J.BRONZE, name, mode="append")
     bronze = lambda name: store.read(J.BRONZE, name, B.ALL[name])
     return union_by_name([
         digest(P.sales(bronze("sales"), bronze("sales_details"), RUN_TS), "sales"),

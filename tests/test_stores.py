@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from argent.plans import bronze as B
 from argent.plans import job as J
 from argent.plans import pipelines as P
+from argent.plans import queries as Q
 from argent.plans.queries import land_driver_bronze
 from argent.sources.driver_shapes import RUN_TS, DriverTables
 from argent.sources.drift import fitted, read_declared, schema_groups
@@ -250,3 +251,13 @@ def test_nested_landing_sets_rejects_aside(spark, store, tmp_path):
     assert store.version() == 1
     (raw / "b.json").unlink()
     assert store.land(str(raw), "Bronze", "orders", schema).count() == 13 and store.rejects("Bronze", "orders").count() == 0
+
+
+def test_files_that_differ_are_drawn_once(spark, monkeypatch):
+    """The draw is a stored column, hashed from the values and not from their JSON text."""
+    kept, whole = [], Q.materialize
+    monkeypatch.setattr(Q, "materialize", lambda df: (kept.append(df), whole(df))[1])
+    assert Q.bronze_mixed_files(spark, SF_SMALL).count() == 3
+    assert len(kept) == 4
+    for df in kept:
+        assert "argent_some" in df.columns and "to_json" not in df._jdf.queryExecution().optimizedPlan().toString()
