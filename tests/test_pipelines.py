@@ -423,3 +423,13 @@ def test_line_groups_carry_only_what_is_asked_for(spark, tmp_path):
         (None, None, 1), (None, "O", 1), ("A", None, 1), ("A", "F", 1), ("R", "F", 2)]
     for shape in (DriverTables(spark, SF_SMALL).dre_categories(),):
         assert "l_extendedprice" not in shape._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shapes_of_shared_orders_are_the_same(spark, t):
+    """And none of them reads or shuffles lines again."""
+    shared = t.sharing_orders()
+    for name in ("payables", "receivables", "dre_categories", "installments"):
+        got, want = getattr(shared, name)(), getattr(t, name)()
+        assert got.schema == want.schema
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert "l_partkey" not in got._jdf.queryExecution().executedPlan().toString()
