@@ -1,12 +1,16 @@
 """Commits, staged catalog refreshes, drifted files, rejects."""
 
+import gzip
 import json
+import os
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from argent import session
 from argent.plans import bronze as B
 from argent.plans import job as J
 from argent.plans import pipelines as P
@@ -41,6 +45,42 @@ def test_snapshots_and_failed_refresh(spark, store):
         store.read("Silver", "none")
 
 
+def shuffled(spark):
+    manager = getattr(spark.sparkContext._jvm.org.apache.spark, "SparkEnv").get().blockManager().diskBlockManager()
+    return {os.path.join(d, n) for x in manager.localDirsString() for d, _, names in os.walk(x) for n in names if n.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files_and_is_zstd(spark, store, tmp_path):
+    df = spark.range(20_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    layers, before = LayerStore(spark, str(tmp_path / "layers")), shuffled(spark)
+    layers.write(df, "Silver", "t")
+    layers.write(df, "Silver", "t", mode="append")
+    store.write(df, "Silver", "t")
+    with store.run() as run:
+        run.write_tagged(df.withColumn(TAG, F.lit("0")), {"0": ("Silver", "tagged", None)})
+    kept = session.materialize(df)
+    J.write_all({n: (lambda n=n: layers.write(df, "Silver", n)) for n in ("a", "b", "c")}, 3)
+    assert not shuffled(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    assert layers.read("Silver", "t").count() == 2000 and kept.count() == layers.read("Silver", "c").count() == 1000
+    files = list((tmp_path / "layers").rglob("*.parquet")) + list((tmp_path / "lake").rglob("*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_what_the_session_says_about_files_wins(spark, store, tmp_path):
+    clean, codec = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec"
+    spark.conf.set(clean, "false")
+    spark.conf.set(codec, "gzip")
+    try:
+        store.write(spark.range(3).coalesce(1), "Silver", "t")
+        assert spark.conf.get(clean) == "false"
+    finally:
+        spark.conf.unset(clean)
+        spark.conf.unset(codec)
+    files = list((tmp_path / "lake").rglob("*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"GZIP"}
+
+
 def test_two_writers_one_refused(spark, store):
     store.write(spark.range(1), "Silver", "t")
     first, second, third = store.run(), store.run(), store.run()
@@ -261,3 +301,18 @@ def test_files_that_differ_are_drawn_once(spark, monkeypatch):
     assert len(kept) == 4
     for df in kept:
         assert "argent_some" in df.columns and "to_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_files_are_gzipped_and_bounded(spark, monkeypatch, tmp_path):
+    """Raw lines keep a fraction of their size on disk, and a file is no more than a task may read."""
+    folder = str(tmp_path / "run")
+    monkeypatch.setattr(Q, "run_folder", lambda _: folder)
+    monkeypatch.setattr(Q, "RAW_RECORDS", 400)
+    got = {r.table_name: r.row_count for r in Q.landing_nested(spark, SF_SMALL).collect()}
+    files = list((tmp_path / "run" / "landing").rglob("part-*"))
+    lines = [len(gzip.open(f).readlines()) for f in files]
+    assert files and all(f.name.endswith(".gz") for f in files) and max(lines) <= 400
+    t = DriverTables(spark, SF_SMALL)
+    customers = t.table("customer").count()
+    assert sum(lines) == t.time_entries().count() + t.installments().count() + 2 * customers
+    assert got["rejects"] == 2 * customers and got["installments"] == t.installments().count()
