@@ -81,6 +81,13 @@ def test_what_the_session_says_about_files_wins(spark, store, tmp_path):
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"GZIP"}
 
 
+def test_landed_bronze_leaves_no_shared_orders(spark, tmp_path):
+    before = set(session._RUN_FOLDERS)
+    land_driver_bronze(DriverTables(spark, SF_SMALL), LayerStore(spark, str(tmp_path / "lake")))
+    new = [f.removeprefix("file:") for f in set(session._RUN_FOLDERS) - before]
+    assert new and not any(os.path.exists(f) for f in new)
+
+
 def test_two_writers_one_refused(spark, store):
     store.write(spark.range(1), "Silver", "t")
     first, second, third = store.run(), store.run(), store.run()
